@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
-from ..functions import blank_tokens, clean_cast, is_token
-from ..schemas import MISSING_TOKENS, NULL_TOKENS, SUPPRESSED_TOKENS
+from ..functions import clean_cast, is_token
+from ..schemas import MISSING_TOKENS, SUPPRESSED_TOKENS
 
 
 def null_token_audit(
@@ -25,31 +25,47 @@ def null_token_audit(
     silver nulls = privacy_suppressed + null + cast_failed.
     """
 
-    def counted(condition: Column) -> Column:
-        return F.count_if(condition)
+    ok, is_suppressed, is_missing, is_failed = range(4)
 
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i, (name, dtype) in enumerate(columns.items()):
+    def state(name: str, dtype: DataType) -> Column:
         text = F.col(name)
-        aggregates.append(counted(is_token(text, suppressed)).alias(f"__s{i}"))
-        aggregates.append(counted(is_token(text, missing) | text.isNull()).alias(f"__n{i}"))
+        found = F.when(text.isNull() | is_token(text, missing), is_missing).when(
+            is_token(text, suppressed), is_suppressed
+        )
         if not isinstance(dtype, StringType):
-            failed = blank_tokens(text, NULL_TOKENS).isNotNull() & clean_cast(text, dtype).isNull()
-            aggregates.append(counted(failed).alias(f"__f{i}"))
-    wide = bronze.groupBy(key).agg(*aggregates)
+            found = found.when(clean_cast(text, dtype, tokens=()).isNull(), is_failed)
+        return found.otherwise(ok)
 
-    def line(i: int, name: str, dtype: DataType) -> Column:
-        failed = F.lit(0).cast("long") if isinstance(dtype, StringType) else F.col(f"__f{i}")
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.col("rows"),
-            F.col(f"__s{i}").alias("privacy_suppressed"),
-            F.col(f"__n{i}").alias("null"),
-            failed.alias("cast_failed"),
-        )
+    # One small code per value and a narrow count of codes: 4 counters for each of many columns in one wide
+    # aggregate would outgrow what the JVM compiles.
+    states = F.array(*[state(name, dtype) for name, dtype in columns.items()])
+    counts = (
+        bronze.select(key, F.posexplode(states).alias("place", "state"))
+        .groupBy(key, "place", "state")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
-    lines = F.array(*[line(i, name, dtype) for i, (name, dtype) in enumerate(columns.items())])
-    return wide.select(key, F.explode(lines).alias("__line")).select(key, "__line.*")
+    def counted(code: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("state") == code, F.col("n"))), F.lit(0))
+
+    names = F.array(*[F.lit(name) for name in columns])
+    return (
+        counts.groupBy(key, "place")
+        .agg(
+            F.sum("n").alias("rows"),
+            counted(is_suppressed).alias("privacy_suppressed"),
+            counted(is_missing).alias("null"),
+            counted(is_failed).alias("cast_failed"),
+        )
+        .select(
+            key,
+            names[F.col("place")].alias("column"),
+            "rows",
+            "privacy_suppressed",
+            "null",
+            "cast_failed",
+        )
+    )
 
 
 def audit_totals(audit: DataFrame) -> DataFrame:

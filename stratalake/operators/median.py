@@ -1,25 +1,25 @@
 """Exact medians per group without gathering any group in one task.
 
 ``F.median`` keeps every distinct value of a group in one aggregation buffer, which fails when one group holds a
-large share of the rows. Here the value range of each group is cut into parts, the parts are counted, and only the
-part that holds the middle ranks is sorted. Range limits and counts are plain aggregates, so a stage that is
-computed again after a lost executor cuts in the same places. Ranks come from exact counts: an uneven cut costs
-balance and never changes the answer.
+large share of the rows. Here rows first shrink to counts per group and value (map-side, then spread by value, so a
+dominant group is shared by all tasks). The value range of each group is cut into parts, the parts are counted, and
+only the part that holds the middle ranks is sorted. Limits and counts are plain aggregates: a stage computed again
+after a lost executor cuts in the same places. An uneven cut costs balance and never changes the answer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PARTS = 1024
+PARTS = 4096
 
 
-def _stretched(value: Column) -> Column:
+def _stretched(value: str) -> str:
     """Log scale with sign: keeps order, so far outliers do not push all other values into one part."""
-    return F.signum(value) * F.log1p(F.abs(value))
+    return f"signum({value}) * log1p(abs({value}))"
 
 
 def grouped_medians(
@@ -31,99 +31,71 @@ def grouped_medians(
 ) -> DataFrame:
     """One row per group: ``counts`` (non-null counts) followed by exact interpolated ``medians``.
 
-    ``few_groups`` broadcasts the per-group limits (about 100 bytes per group and measure). Set it only where the
+    ``few_groups`` broadcasts the per-group limits (about 50 bytes per group and measure). Set it only where the
     data model bounds the number of groups, such as labels times years; otherwise Spark decides by size.
     """
-    keys = list(keys)
-    names = list(medians)
     counts = dict(counts or {})
-    slots = range(len(names))
     sized = F.broadcast if few_groups else (lambda frame: frame)
-    key_copies = [F.col(key).alias(f"__k_{key}") for key in keys]
-    on_keys = F.lit(True)
-    for key in keys:
-        on_keys = on_keys & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
-
-    values = df.select(
-        *keys,
-        *[expr.alias(f"__c_{name}") for name, expr in counts.items()],
-        *[medians[names[i]].cast("double").alias(f"__m{i}") for i in slots],
+    quoted = [f"`{key}`" for key in keys]
+    by_group = ", ".join([*quoted, "slot"])
+    key_copies = [f"`{key}` AS `__k_{key}`" for key in keys]
+    same_group = " AND ".join([*[f"`{key}` <=> `__k_{key}`" for key in keys], "slot = __slot"])
+
+    # Slot 0 stands for the row itself, so a group without any value is kept; counted columns weigh 0.
+    columns = [F.lit(0.0)]
+    columns += [F.when(expr.isNotNull(), 0.0) for expr in counts.values()]
+    columns += [expr.cast("double") for expr in medians.values()]
+    slots = range(len(columns))
+    pairs = ", ".join(f"{i}, __v{i}" for i in slots)
+    weighted = (
+        df.select(*keys, *[column.alias(f"__v{i}") for i, column in enumerate(columns)])
+        .selectExpr(*quoted, f"stack({len(columns)}, {pairs}) AS (slot, value)")
+        .where("value IS NOT NULL")
+        .groupBy(*keys, "slot", "value")
+        .agg(F.count(F.lit(1)).alias("here"))
     )
-    groups = values.groupBy(*keys).agg(
-        *[F.count(f"__c_{name}").alias(name) for name in counts],
-        *[F.count(f"__m{i}").alias(f"__n{i}") for i in slots],
-        *[_stretched(F.min(f"__m{i}")).alias(f"__from{i}") for i in slots],
-        *[_stretched(F.max(f"__m{i}")).alias(f"__to{i}") for i in slots],
+    limits = (
+        weighted.groupBy(*keys, "slot")
+        .agg(F.sum("here").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+        .selectExpr(
+            *key_copies,
+            "slot AS __slot",
+            "n",
+            f"{_stretched('least')} AS start",
+            f"{_stretched('most')} - {_stretched('least')} AS span",
+        )
     )
-    limits = groups.select(
-        *key_copies, *[f"__{what}{i}" for i in slots for what in ("n", "from", "to")]
+    share = f"coalesce(try_divide({_stretched('value')} - start, span), 0D)"
+    placed = weighted.join(sized(limits), F.expr(same_group)).selectExpr(
+        *quoted, "slot", "value", "here", "n", f"floor({share} * {PARTS}) AS part"
     )
 
-    def measure(i: int) -> Column:
-        value, start, stop = F.col(f"__m{i}"), F.col(f"__from{i}"), F.col(f"__to{i}")
-        share = F.try_divide(_stretched(value) - start, stop - start)
-        return F.struct(
-            F.lit(i).alias("slot"),
-            F.col(f"__n{i}").alias("n"),
-            F.floor(F.coalesce(share, F.lit(0.0)) * PARTS).alias("part"),
-            value.alias("value"),
-        )
-
-    measured = (
-        values.select(*keys, *[f"__m{i}" for i in slots])
-        .join(sized(limits), on_keys)
-        .select(*keys, F.explode(F.array(*[measure(i) for i in slots])).alias("__x"))
-        .select(*keys, "__x.*")
-        .where(F.col("value").isNotNull())
-    )
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
     # Zero-based ranks of the two middle values (equal for an odd count).
-    low_rank = F.floor((F.col("n") - 1) / 2)
-    high_rank = F.floor(F.col("n") / 2)
-
-    def upto_here(order: str, *within: str) -> Column:
-        window = Window.partitionBy(*keys, *within).orderBy(order)
-        return F.sum("here").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
+    low, high = "(n - 1) div 2", "n div 2"
     middle_parts = (
-        measured.groupBy(*keys, "slot", "n", "part")
-        .agg(F.count(F.lit(1)).alias("here"))
-        .withColumn("upto", upto_here("part", "slot"))
-        .withColumn("before", F.col("upto") - F.col("here"))
-        .where((F.col("before") <= high_rank) & (F.col("upto") > low_rank))
-        .select(
-            *key_copies, F.col("slot").alias("__slot"), F.col("part").alias("__part"), "before"
-        )
-    )
-    in_middle = on_keys & (F.col("slot") == F.col("__slot")) & (F.col("part") == F.col("__part"))
-    ranked = (
-        measured.join(sized(middle_parts), in_middle)
-        .groupBy(*keys, "slot", "n", "part", "before", "value")
-        .agg(F.count(F.lit(1)).alias("here"))
-        .withColumn("upto", F.col("before") + upto_here("value", "slot", "part"))
-        .withColumn("first", F.col("upto") - F.col("here"))
-    )
-
-    def value_at(rank: Column, i: int) -> Column:
-        hit = (F.col("slot") == i) & (F.col("first") <= rank) & (rank < F.col("upto"))
-        return F.max(F.when(hit, F.col("value")))
-
-    middles = (
-        ranked.groupBy(*keys)
-        .agg(
-            *[value_at(low_rank, i).alias(f"__low{i}") for i in slots],
-            *[value_at(high_rank, i).alias(f"__high{i}") for i in slots],
-        )
-        .select(
-            *key_copies,
-            *[
-                (F.col(f"__low{i}") * 0.5 + F.col(f"__high{i}") * 0.5).alias(names[i])
-                for i in slots
-            ],
-        )
-    )
-    return (
-        groups.select(*keys, *counts)
-        .join(sized(middles), on_keys, "left")
-        .select(*keys, *counts, *names)
+        placed.groupBy(*keys, "slot", "n", "part")
+        .agg(F.sum("here").alias("here"))
+        .selectExpr("*", f"sum(here) OVER (PARTITION BY {by_group} ORDER BY part {so_far}) AS upto")
+        .where(f"upto - here <= {high} AND upto > {low}")
+        .selectExpr(*key_copies, "slot AS __slot", "part AS __part", "upto - here AS before")
     )
+    running = f"sum(here) OVER (PARTITION BY {by_group}, part ORDER BY value {so_far})"
+    ranked = placed.join(
+        sized(middle_parts), F.expr(f"{same_group} AND part = __part")
+    ).selectExpr(*quoted, "slot", "value", "n", "here", f"before + {running} AS upto")
+
+    def value_at(rank: str, slot: int) -> str:
+        hit = f"slot = {slot} AND upto - here <= {rank} AND {rank} < upto"
+        return f"max(CASE WHEN {hit} THEN value END)"
+
+    results = [
+        F.expr(f"coalesce(max(CASE WHEN slot = {i + 1} THEN n END), 0L)").alias(name)
+        for i, name in enumerate(counts)
+    ]
+    results += [
+        F.expr(f"{value_at(low, i)} * 0.5D + {value_at(high, i)} * 0.5D").alias(name)
+        for i, name in enumerate(medians, start=1 + len(counts))
+    ]
+    return ranked.groupBy(*keys).agg(*results)

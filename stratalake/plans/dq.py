@@ -35,7 +35,7 @@ def _differ(*pairs: tuple[str, str]) -> Column:
 
 def bronze_totals(bronze: DataFrame, suppressed_column: str, sector: str = "3") -> DataFrame:
     """Per year straight from the text: rows, enrollment, one sector's enrollment, suppressed values."""
-    enrolled = clean_cast(F.col("UGDS"), LongType(), tokens=())
+    enrolled = clean_cast(F.col("UGDS"), LongType())
     return bronze.groupBy(F.col("year").cast("smallint").alias("year")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(enrolled).alias("enrolled"),
@@ -48,7 +48,7 @@ def layer_totals(bronze: DataFrame, silver: DataFrame, fact: DataFrame) -> dict[
     """Enrollment per valid sector from text, silver and gold, in one shape."""
     raw = bronze.where(F.col("CONTROL").isin("1", "2", "3")).select(
         F.col("CONTROL").alias("control"),
-        clean_cast(F.col("UGDS"), LongType(), tokens=()).alias("enrolled"),
+        clean_cast(F.col("UGDS"), LongType()).alias("enrolled"),
     )
     typed = silver.where(F.col("control").isNotNull()).select("control", F.col("ugds").alias("enrolled"))
     gold = fact.where(F.col("control").isNotNull()).select(
