@@ -45,19 +45,33 @@ def switches(
         )
     )
     pair_order = Window.partitionBy(key).orderBy("from_label", "to_label")
-    marked = pairs.withColumn("first", (F.row_number().over(pair_order) == 1).cast("long"))
+    marked = pairs.select(
+        "from_label",
+        "to_label",
+        "switches",
+        "undoing",
+        (F.row_number().over(pair_order) == 1).cast("long").alias("first"),
+    )
+    # One empty row keeps the total when nothing ever switched.
+    nothing = fact.sparkSession.range(1).selectExpr(
+        "CAST(NULL AS STRING) AS from_label",
+        "CAST(NULL AS STRING) AS to_label",
+        "0L AS switches",
+        "0L AS undoing",
+        "0L AS first",
+    )
     from_label, to_label = F.col("from_label"), F.col("to_label")
     is_total = F.grouping_id() != 0
     return (
-        marked.groupingSets([[from_label, to_label], []], from_label, to_label)
+        marked.unionByName(nothing)
+        .groupingSets([[from_label, to_label], []], from_label, to_label)
         .agg(
             is_total.alias("__total"),
-            F.coalesce(F.sum("switches"), F.lit(0)).alias("switches"),
-            F.when(is_total, F.coalesce(F.sum("first"), F.lit(0)))
-            .otherwise(F.count(F.lit(1)))
-            .alias("institutions"),
-            F.coalesce(F.sum("undoing"), F.lit(0)).alias("undoing_previous_switch"),
+            F.sum("switches").alias("switches"),
+            F.when(is_total, F.sum("first")).otherwise(F.count(F.lit(1))).alias("institutions"),
+            F.sum("undoing").alias("undoing_previous_switch"),
         )
+        .where(F.col("__total") | from_label.isNotNull())
         .select(
             F.when(F.col("__total"), total).otherwise(from_label).alias("from_sector"),
             F.when(F.col("__total"), total).otherwise(to_label).alias("to_sector"),
