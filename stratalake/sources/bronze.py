@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,9 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..schemas import text_schema
 
+# First lines read at the same time; each is a one-task job.
+HEADER_READERS = 8
+
 
 def csv_reader(spark: SparkSession, multi_line: bool = False):
     """Header row, text only, ``""`` as the escaped quote and backslash as plain text.
@@ -31,6 +35,28 @@ def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> tuple
     return tuple(csv_reader(spark, multi_line).csv(path).columns)
 
 
+def layouts_of(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool = False
+) -> dict[tuple[str, ...], list[str]]:
+    """Datasets grouped by identical header.
+
+    Comparing first lines reads one line per dataset; names are parsed once per distinct line.
+    """
+    if multi_line:
+        # A header may itself span lines.
+        first_lines = paths
+    else:
+        with ThreadPoolExecutor(HEADER_READERS) as pool:
+            first_lines = list(pool.map(lambda path: spark.read.text(path).first(), paths))
+    by_line: dict[object, list[str]] = {}
+    for line, path in zip(first_lines, paths):
+        by_line.setdefault(line, []).append(path)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for members in by_line.values():
+        layouts.setdefault(header_of(spark, members[0], multi_line), []).extend(members)
+    return layouts
+
+
 def read_bronze(
     spark: SparkSession,
     paths: Sequence[str],
@@ -49,9 +75,7 @@ def read_bronze(
     """
     paths = list(paths)
     if by_name:
-        layouts: dict[tuple[str, ...], list[str]] = {}
-        for path in paths:
-            layouts.setdefault(header_of(spark, path, multi_line), []).append(path)
+        layouts = layouts_of(spark, paths, multi_line)
     else:
         layouts = {header_of(spark, paths[0], multi_line): paths}
 
@@ -83,7 +107,8 @@ def read_code_list(spark: SparkSession, path: str) -> DataFrame:
 
 def file_widths(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
     """``(file, columns)``: the number of header columns of each dataset."""
-    rows = [(path, len(header_of(spark, path, multi_line))) for path in paths]
+    layouts = layouts_of(spark, paths, multi_line)
+    rows = [(path, len(header)) for header, members in layouts.items() for path in members]
     schema = StructType([StructField("file", StringType()), StructField("columns", IntegerType())])
     return spark.createDataFrame(rows, schema)
 
