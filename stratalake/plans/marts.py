@@ -1,4 +1,7 @@
-"""Analytical marts over the gold tables. Limits and years are parameters; defaults are the published ones."""
+"""Analytical marts over the gold tables. Limits and years are parameters; defaults are the published ones.
+
+``fact_rows`` is the counted size of the fact, where the caller knows it (see ``grouped_medians``).
+"""
 
 from __future__ import annotations
 
@@ -45,7 +48,11 @@ def _labelled(fact: DataFrame, control: DataFrame) -> DataFrame:
 
 
 def outcomes_by_control(
-    fact: DataFrame, control: DataFrame, year: int = 2020, degree: int = BACHELORS
+    fact: DataFrame,
+    control: DataFrame,
+    year: int = 2020,
+    degree: int = BACHELORS,
+    fact_rows: int | None = None,
 ) -> DataFrame:
     """Median cost, debt and earnings per sector in one year, among institutions of one degree level."""
     debt, earnings = F.col("median_debt_completers"), F.col("median_earnings_10yr")
@@ -62,6 +69,7 @@ def outcomes_by_control(
         },
         {"institutions": F.lit(1), "with_earnings": earnings},
         few_groups=True,
+        at_most_rows=fact_rows,
     )
     return result.select(
         F.col("label").alias("control"),
@@ -75,7 +83,9 @@ def outcomes_by_control(
     ).orderBy(F.desc_nulls_last("median_earnings_10yr"), "control")
 
 
-def tuition_trend(fact: DataFrame, control: DataFrame, degree: int = BACHELORS) -> DataFrame:
+def tuition_trend(
+    fact: DataFrame, control: DataFrame, degree: int = BACHELORS, fact_rows: int | None = None
+) -> DataFrame:
     """Median in-state tuition per year and sector."""
     tuition = F.col("tuition_in_state")
     chosen = fact.where((F.col("predominant_degree") == degree) & tuition.isNotNull())
@@ -85,6 +95,7 @@ def tuition_trend(fact: DataFrame, control: DataFrame, degree: int = BACHELORS)
         {"median_in_state_tuition": tuition},
         {"institutions": tuition},
         few_groups=True,
+        at_most_rows=fact_rows,
     )
     return result.select(
         "year", F.col("label").alias("control"), "institutions", "median_in_state_tuition"
@@ -98,6 +109,7 @@ def bachelors_by_field(
     cohort: str = "1819_1920",
     credential: int = BACHELORS,
     min_with_earnings: int = 100,
+    fact_rows: int | None = None,
 ) -> DataFrame:
     """Median earnings and debt per field family for one cohort and credential level.
 
@@ -117,6 +129,7 @@ def bachelors_by_field(
         },
         {"programs": F.lit(1), "with_earnings": earnings},
         few_groups=True,
+        at_most_rows=fact_rows,
     )
     return (
         result.where(F.col("with_earnings") >= min_with_earnings)
@@ -182,16 +195,20 @@ def sector_switches(fact: DataFrame, control: DataFrame) -> DataFrame:
 
 
 def all_marts(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every mart of the warehouse under its result name (the token totals come from the audit)."""
+    """Every mart of the warehouse under its result name (the token totals come from the audit).
+
+    Counting the stored facts reads file footers only.
+    """
     fact, control = gold["fact_institution_year"], gold["dim_control"]
-    institutions = gold["dim_institution"]
+    institutions, programs = gold["dim_institution"], gold["fact_program"]
+    fact_rows = fact.count()
     return {
         "measure_availability": measure_availability(fact),
         "enrollment_by_control": enrollment_by_control(gold["agg_enrollment_cube"], control),
-        "outcomes_by_control_2020": outcomes_by_control(fact, control),
-        "tuition_trend": tuition_trend(fact, control),
+        "outcomes_by_control_2020": outcomes_by_control(fact, control, fact_rows=fact_rows),
+        "tuition_trend": tuition_trend(fact, control, fact_rows=fact_rows),
         "bachelors_by_field": bachelors_by_field(
-            gold["fact_program"], gold["dim_field"], gold["dim_cip_family"]
+            programs, gold["dim_field"], gold["dim_cip_family"], fact_rows=programs.count()
         ),
         "closures": closures(fact, institutions, control),
         "sector_attribution": sector_attribution(fact, institutions),

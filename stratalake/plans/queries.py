@@ -272,12 +272,19 @@ def enrollment_by_category(spark: SparkSession, folder: str) -> DataFrame:
 
 def outcomes_by_category(spark: SparkSession, folder: str) -> DataFrame:
     return marts.outcomes_by_control(
-        ow.fact(spark, folder), label_dim(spark), year=ow.OUTCOME_YEAR
+        ow.fact(spark, folder),
+        label_dim(spark),
+        year=ow.OUTCOME_YEAR,
+        fact_rows=ow.count_rows(spark, folder, "orders"),
     )
 
 
 def median_trend(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.tuition_trend(ow.fact(spark, folder), label_dim(spark))
+    return marts.tuition_trend(
+        ow.fact(spark, folder),
+        label_dim(spark),
+        fact_rows=ow.count_rows(spark, folder, "orders"),
+    )
 
 
 def median_by_family(spark: SparkSession, folder: str) -> DataFrame:
@@ -287,6 +294,7 @@ def median_by_family(spark: SparkSession, folder: str) -> DataFrame:
         field_dim(programs, "cipcode", "cipdesc"),
         family_dim(ow.families(spark, folder)),
         cohort=ow.COHORT,
+        fact_rows=ow.count_rows(spark, folder, "lineitem"),
     )
 
 
@@ -352,16 +360,22 @@ def cube_reconcile(spark: SparkSession, folder: str) -> DataFrame:
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     layers = ow.stored_layers(spark, folder)
     tables = layers.read_gold(spark)
-    control = tables["dim_control"]
+    fact, programs = tables["fact_institution_year"], tables["fact_program"]
     return dq.dq_report(
         layers.read_text(spark),
         layers.read_institutions(spark),
         layers.read_programs(spark),
         tables,
         ow.audit(spark, folder),
-        marts.outcomes_by_control(tables["fact_institution_year"], control, ow.OUTCOME_YEAR),
+        marts.outcomes_by_control(
+            fact, tables["dim_control"], ow.OUTCOME_YEAR, fact_rows=fact.count()
+        ),
         marts.bachelors_by_field(
-            tables["fact_program"], tables["dim_field"], tables["dim_cip_family"], ow.COHORT
+            programs,
+            tables["dim_field"],
+            tables["dim_cip_family"],
+            ow.COHORT,
+            fact_rows=programs.count(),
         ),
         outcome_year=ow.OUTCOME_YEAR,
         cohort=ow.COHORT,

@@ -36,7 +36,7 @@ def median_or_none(values):
     return statistics.median(values) if values else None
 
 
-def check_medians(spark, data, few_groups):
+def check_medians(spark, data, few_groups, at_most_rows):
     df = spark.createDataFrame(data, "g string, x double, y int")
     got = grouped_medians(
         df,
@@ -44,6 +44,7 @@ def check_medians(spark, data, few_groups):
         {"mx": F.col("x"), "my": F.col("y")},
         {"rows": F.lit(1), "with_x": F.col("x")},
         few_groups=few_groups,
+        at_most_rows=at_most_rows,
     )
     expected = {}
     for group in {row[0] for row in data}:
@@ -62,8 +63,19 @@ def test_medians_match_brute_force(spark):
     data += [("hot", value, None) for value in (1e12, -1e12, 0.0, -0.0)]
     data += [("band", 40.0 + rng.random() / 1000, rng.randrange(3)) for _ in range(500)] + [("band", 0.0, 1)]
     data += [(None, float(rng.randrange(10)), None) for _ in range(100)]
-    for few_groups in (True, False):
-        check_medians(spark, data, few_groups)
+    for few_groups, at_most_rows in ((True, None), (False, 2_000_000), (False, len(data))):
+        check_medians(spark, data, few_groups, at_most_rows)
+
+
+def test_large_inputs_never_gather_a_group(spark):
+    df = spark.range(10).selectExpr("id % 2 AS g", "cast(id AS double) AS x")
+
+    def plan(at_most_rows):
+        result = grouped_medians(df, ["g"], {"m": F.col("x")}, at_most_rows=at_most_rows)
+        return result._jdf.queryExecution().executedPlan().toString()
+
+    assert "percentile" in plan(1000)
+    assert "percentile" not in plan(None) and "percentile" not in plan(1_000_001)
 
 
 def test_median_of_ratio_skips_zero_denominators(spark):

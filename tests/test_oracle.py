@@ -57,6 +57,18 @@ def test_entry(spark):
     assert df.columns == ["year", "control", "institutions", "undergrads"] and df.count() == 21
 
 
+@pytest.mark.parametrize("name", ["outcomes_by_category", "median_trend", "median_by_family"])
+def test_large_input_medians_equal_oracle(spark, monkeypatch, name):
+    connection = duckdb.connect()
+    for table in ("orders", "customer", "nation", "lineitem", "part"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{MIDDLE}/{table}.parquet'")
+    monkeypatch.setattr("stratalake.operators.median.SMALL_INPUT_ROWS", 0)
+    df = contract.queries()[name](spark, MIDDLE)
+    result = connection.execute(contract.oracle_sql()[name])
+    expected = shape([d[0] for d in result.description], result.fetchall())
+    assert shape(df.columns, df.collect()) == expected and expected[1]
+
+
 def test_known_figures_of_the_middle_scale(spark):
     queries = contract.queries()
     closures = {r[0]: tuple(r)[1:] for r in queries["closures"](spark, MIDDLE).collect()}
