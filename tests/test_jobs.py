@@ -98,6 +98,9 @@ def test_audit_explains_every_silver_null(spark, warehouse):
 
 
 def test_chart_datasets(spark, warehouse):
+    assert jobs.main(["charts", "--results", warehouse["results"]]) == 0
+    bars = spark.read.option("header", True).csv(f"{warehouse['results']}/chart_outcome_bars")
+    assert bars.count() == 9
     data = jobs.chart_data(spark, warehouse["results"])
     # Unit 5 leaves the sector in 2012 and unit 23 the files after 2010.
     members = sum(1000 * u + 10 for u in range(sample.UNITS) if u % 3 == 2)
@@ -109,7 +112,9 @@ def test_chart_datasets(spark, warehouse):
 
 
 def test_clean_warehouse_has_no_failures(spark, warehouse):
-    report = jobs.check(spark, *[warehouse[n] for n in ("bronze", "lake", "gold", "results")])
+    folders = [part for name, path in warehouse.items() for part in (f"--{name}", path)]
+    assert jobs.main(["check", *folders]) == 0
+    report = read_csv_typed(spark, f"{warehouse['results']}/dq_report", "check string, failures long")
     got = {r["check"]: r["failures"] for r in report.collect()}
     assert got == {f"C{i}": 0 for i in range(1, 15)}
 
