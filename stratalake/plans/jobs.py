@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from ..sources import (
     read_lake,
     read_tables,
     row_counts,
+    save_catalog_tables,
+    shared_folder,
     write_csv,
     write_json,
     write_partitioned,
@@ -47,6 +50,9 @@ INSTITUTION_FILES = "MERGED*_PP.csv"
 PROGRAM_FILES = "FieldOfStudyData*_PP.csv"
 CODE_LIST = "CIPCode2020.csv"
 
+# Years whose text files are recomputed by the check.
+CHECKED_YEARS = (2000, 2010, 2012, 2020)
+
 
 COUNT_NAMES = (
     "institutions",
@@ -58,13 +64,23 @@ COUNT_NAMES = (
 )
 
 
-def yearly_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
-    """File paths of one kind: a few per year."""
-    return sorted(row["path"] for row in list_files(spark, folder, glob).select("path").collect())
+def yearly_files(
+    spark: SparkSession, folder: str, glob: str, years: Sequence[int] | None = None
+) -> list[str]:
+    """File paths of one kind, a few per year; optionally only those of some years."""
+    files = list_files(spark, folder, glob)
+    if years is not None:
+        files = files.where(F.regexp_extract("path", YEAR_IN_NAME, 1).isin(*map(str, years)))
+    return sorted(row["path"] for row in files.select("path").collect())
 
 
-def institution_bronze(spark: SparkSession, bronze: str, columns=None) -> DataFrame:
-    files = yearly_files(spark, bronze, INSTITUTION_FILES)
+def institution_bronze(
+    spark: SparkSession,
+    bronze: str,
+    columns: Sequence[str] | None = None,
+    years: Sequence[int] | None = None,
+) -> DataFrame:
+    files = yearly_files(spark, bronze, INSTITUTION_FILES, years)
     wanted = list(columns or INSTITUTION_COLUMNS)
     return read_bronze(spark, files, "year", YEAR_IN_NAME, columns=wanted)
 
@@ -75,8 +91,14 @@ def program_bronze(spark: SparkSession, bronze: str) -> DataFrame:
 
 
 def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> None:
-    """Bronze to silver, with the token audit and the size audit."""
-    institutions = institution_bronze(spark, bronze)
+    """Bronze to silver, with the token audit and the size audit.
+
+    The wide files are parsed once: their used columns, about a hundredth of the text, go to a staging table that
+    the audit and silver both read.
+    """
+    staged = shared_folder(spark, "institution-text")
+    write_partitioned(institution_bronze(spark, bronze), staged, "year")
+    institutions = read_lake(spark, staged)
     write_csv(
         null_token_audit(institutions, INSTITUTION_COLUMNS, "year").orderBy("year", "column"),
         f"{results}/suppression_by_year",
@@ -127,11 +149,27 @@ def timed_totals(layers: dict[str, DataFrame]) -> list[tuple[str, float]]:
     return timings
 
 
-def build(spark: SparkSession, bronze: str, lake_folder: str, gold_folder: str, results: str) -> None:
-    """Silver to gold, the marts as CSV, layer timings and warehouse counts."""
+def build(
+    spark: SparkSession,
+    bronze: str,
+    lake_folder: str,
+    gold_folder: str,
+    results: str,
+    buckets: int = 0,
+) -> None:
+    """Silver to gold, the marts as CSV, layer timings and warehouse counts.
+
+    With ``buckets`` the gold tables are also catalog tables in equal buckets by institution, and the marts that
+    join or order by institution read them without an exchange. The folders are plain Parquet either way.
+    """
     institutions, programs, families = silver_tables(spark, lake_folder)
-    write_tables(gold.build(spark, institutions, programs, families), gold_folder)
-    tables = read_tables(spark, gold.TABLES, gold_folder)
+    built = gold.build(spark, institutions, programs, families)
+    if buckets:
+        save_catalog_tables(built, gold_folder, buckets)
+        tables = {name: spark.table(name) for name in gold.TABLES}
+    else:
+        write_tables(built, gold_folder)
+        tables = read_tables(spark, gold.TABLES, gold_folder)
     for name, mart in marts.all_marts(tables).items():
         write_csv(mart, f"{results}/{name}", single=True)
     audit = read_csv_typed(spark, f"{results}/suppression_by_year", AUDIT_SCHEMA)
@@ -164,19 +202,19 @@ def build(spark: SparkSession, bronze: str, lake_folder: str, gold_folder: str,
 def check(
     spark: SparkSession, bronze: str, lake_folder: str, gold_folder: str, results: str
 ) -> DataFrame:
-    """The reconciliation report over stored layers; four years of text are recomputed."""
+    """The reconciliation report over stored layers and marts; only some years of text are read again."""
     institutions, programs, _ = silver_tables(spark, lake_folder)
-    tables = read_tables(spark, gold.TABLES, gold_folder)
-    stored = marts.all_marts(tables)
+    agreement = spark.read.schema("pair string, differences long").json(f"{results}/layers_agree")
     return dq.dq_report(
-        institution_bronze(spark, bronze),
+        institution_bronze(spark, bronze, years=CHECKED_YEARS),
         institutions,
         programs,
-        tables,
+        read_tables(spark, gold.TABLES, gold_folder),
         read_csv_typed(spark, f"{results}/suppression_by_year", AUDIT_SCHEMA),
-        stored["outcomes_by_control_2020"],
-        stored["bachelors_by_field"],
-        years=(2000, 2010, 2012, 2020),
+        _mart(spark, results, "outcomes_by_control_2020", _OUTCOMES),
+        _mart(spark, results, "bachelors_by_field", _BY_FIELD),
+        years=CHECKED_YEARS,
+        agreement=agreement,
     )
 
 
@@ -230,12 +268,15 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("job", choices=("lake", "build", "check", "charts"))
     for folder in ("bronze", "lake", "gold", "results"):
         parser.add_argument(f"--{folder}")
+    parser.add_argument("--buckets", type=int, default=0)
     options = parser.parse_args(argv)
     spark = build_session("stratalake")
     if options.job == "lake":
         lake(spark, options.bronze, options.lake, options.results)
     elif options.job == "build":
-        build(spark, options.bronze, options.lake, options.gold, options.results)
+        build(
+            spark, options.bronze, options.lake, options.gold, options.results, options.buckets
+        )
     elif options.job == "check":
         report = check(spark, options.bronze, options.lake, options.gold, options.results)
         write_csv(report, f"{options.results}/dq_report", single=True)

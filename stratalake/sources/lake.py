@@ -84,11 +84,14 @@ def save_catalog_tables(
 ) -> None:
     """Full rebuild as catalog tables under ``folder``. ``buckets`` co-locates all tables with ``bucket_key``.
 
-    With equal buckets a join or window by that key reads its bucket and needs no exchange.
+    With equal buckets a join or window by that key reads its bucket and needs no exchange. Rows are sent to
+    their bucket before the write, so a bucket is one file and not one per task.
     """
     for name, df in tables.items():
-        writer = df.write.mode("overwrite").format("parquet").option("path", f"{folder}/{name}")
-        if buckets and bucket_key in df.columns:
+        bucketed = buckets and bucket_key in df.columns
+        out = df.repartition(buckets, bucket_key) if bucketed else df
+        writer = out.write.mode("overwrite").format("parquet").option("path", f"{folder}/{name}")
+        if bucketed:
             writer = writer.bucketBy(buckets, bucket_key).sortBy(bucket_key)
         writer.saveAsTable(name)
 
