@@ -48,62 +48,74 @@ def grouped_medians(
         )
     sized = F.broadcast if few_groups else (lambda frame: frame)
     quoted = [f"`{key}`" for key in keys]
-    by_group = ", ".join([*quoted, "slot"])
-    key_copies = [f"`{key}` AS `__k_{key}`" for key in keys]
-    same_group = " AND ".join([*[f"`{key}` <=> `__k_{key}`" for key in keys], "slot = __slot"])
+    by_group = ", ".join([*quoted, "__slot"])
+    key_copies = [f"`{key}` AS `__of_{key}`" for key in keys]
+    same_group = " AND ".join(
+        [*[f"`{key}` <=> `__of_{key}`" for key in keys], "__slot = __slot_of"]
+    )
 
     # Slot 0 stands for the row itself, so a group without any value is kept; counted columns weigh 0.
     columns = [F.lit(0.0)]
     columns += [F.when(expr.isNotNull(), 0.0) for expr in counts.values()]
     columns += [expr.cast("double") for expr in medians.values()]
-    slots = range(len(columns))
-    pairs = ", ".join(f"{i}, __v{i}" for i in slots)
+    pairs = ", ".join(f"{i}, __v{i}" for i in range(len(columns)))
     weighted = (
         df.select(*keys, *[column.alias(f"__v{i}") for i, column in enumerate(columns)])
-        .selectExpr(*quoted, f"stack({len(columns)}, {pairs}) AS (slot, value)")
-        .where("value IS NOT NULL")
-        .groupBy(*keys, "slot", "value")
-        .agg(F.count(F.lit(1)).alias("here"))
+        .selectExpr(*quoted, f"stack({len(columns)}, {pairs}) AS (__slot, __value)")
+        .where("__value IS NOT NULL")
+        .groupBy(*keys, "__slot", "__value")
+        .agg(F.count(F.lit(1)).alias("__here"))
     )
     limits = (
-        weighted.groupBy(*keys, "slot")
-        .agg(F.sum("here").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+        weighted.groupBy(*keys, "__slot")
+        .agg(
+            F.sum("__here").alias("__n"),
+            F.min("__value").alias("__least"),
+            F.max("__value").alias("__most"),
+        )
         .selectExpr(
             *key_copies,
-            "slot AS __slot",
-            "n",
-            f"{_stretched('least')} AS start",
-            f"{_stretched('most')} - {_stretched('least')} AS span",
+            "__slot AS __slot_of",
+            "__n",
+            f"{_stretched('__least')} AS __start",
+            f"{_stretched('__most')} - {_stretched('__least')} AS __span",
         )
     )
-    share = f"coalesce(try_divide({_stretched('value')} - start, span), 0D)"
+    share = f"coalesce(try_divide({_stretched('__value')} - __start, __span), 0D)"
     placed = weighted.join(sized(limits), F.expr(same_group)).selectExpr(
-        *quoted, "slot", "value", "here", "n", f"floor({share} * {PARTS}) AS part"
+        *quoted, "__slot", "__value", "__here", "__n", f"floor({share} * {PARTS}) AS __part"
     )
-
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
     # Zero-based ranks of the two middle values (equal for an odd count).
-    low, high = "(n - 1) div 2", "n div 2"
+    low, high = "(__n - 1) div 2", "__n div 2"
+    upto_part = f"sum(__here) OVER (PARTITION BY {by_group} ORDER BY __part {so_far})"
     middle_parts = (
-        placed.groupBy(*keys, "slot", "n", "part")
-        .agg(F.sum("here").alias("here"))
-        .selectExpr("*", f"sum(here) OVER (PARTITION BY {by_group} ORDER BY part {so_far}) AS upto")
-        .where(f"upto - here <= {high} AND upto > {low}")
-        .selectExpr(*key_copies, "slot AS __slot", "part AS __part", "upto - here AS before")
+        placed.groupBy(*keys, "__slot", "__n", "__part")
+        .agg(F.sum("__here").alias("__here"))
+        .selectExpr("*", f"{upto_part} AS __upto")
+        .where(f"__upto - __here <= {high} AND __upto > {low}")
+        .selectExpr(
+            *key_copies,
+            "__slot AS __slot_of",
+            "__part AS __part_of",
+            "__upto - __here AS __before",
+        )
     )
-    running = f"sum(here) OVER (PARTITION BY {by_group}, part ORDER BY value {so_far})"
+    upto_value = f"sum(__here) OVER (PARTITION BY {by_group}, __part ORDER BY __value {so_far})"
     ranked = placed.join(
-        sized(middle_parts), F.expr(f"{same_group} AND part = __part")
-    ).selectExpr(*quoted, "slot", "value", "n", "here", f"before + {running} AS upto")
+        sized(middle_parts), F.expr(f"{same_group} AND __part = __part_of")
+    ).selectExpr(
+        *quoted, "__slot", "__value", "__n", "__here", f"__before + {upto_value} AS __upto"
+    )
 
     def value_at(rank: str, slot: int) -> str:
-        hit = f"slot = {slot} AND upto - here <= {rank} AND {rank} < upto"
-        return f"max(CASE WHEN {hit} THEN value END)"
+        hit = f"__slot = {slot} AND __upto - __here <= {rank} AND {rank} < __upto"
+        return f"max(CASE WHEN {hit} THEN __value END)"
 
     results = [
-        F.expr(f"coalesce(max(CASE WHEN slot = {i + 1} THEN n END), 0L)").alias(name)
-        for i, name in enumerate(counts)
+        F.expr(f"coalesce(max(CASE WHEN __slot = {i} THEN __n END), 0L)").alias(name)
+        for i, name in enumerate(counts, start=1)
     ]
     results += [
         F.expr(f"{value_at(low, i)} * 0.5D + {value_at(high, i)} * 0.5D").alias(name)

@@ -63,10 +63,17 @@ def test_medians_match_brute_force(spark):
     data += [("hot", value, None) for value in (1e12, -1e12, 0.0, -0.0)]
     data += [("band", 40.0 + rng.random() / 1000, rng.randrange(3)) for _ in range(500)] + [("band", 0.0, 1)]
     data += [(None, float(rng.randrange(10)), None) for _ in range(100)]
+    data += [("infinite", value, 1) for value in (1.0, 2.0, 4.0, float("inf"))]
     for few_groups, at_most_rows in ((True, None), (False, 2_000_000), (False, len(data))):
         check_medians(spark, data, few_groups, at_most_rows)
 
 
+def test_group_names_do_not_clash_with_working_columns(spark):
+    df = spark.createDataFrame([(1, 2, 5.0), (1, 2, 7.0)], "value int, slot int, x double")
+    got = grouped_medians(df, ["value", "slot"], {"n": F.col("x")}, {"part": F.lit(1)})
+    assert [tuple(row) for row in got.collect()] == [(1, 2, 2, 6.0)]
+
+
 def test_large_inputs_never_gather_a_group(spark):
     df = spark.range(10).selectExpr("id % 2 AS g", "cast(id AS double) AS x")
 

@@ -31,7 +31,7 @@ def put(path, text):
 def test_quoting_follows_doubled_quotes(spark, tmp_path):
     path = put(
         f"{tmp_path}/q.csv",
-        'a,b,c\r\n"A, ""B""",x\\,1\r\n"",PS,"NULL"\r\nshort,,\r\n',
+        'a,b,c\r\n"A, ""B""",x\\,1\r\n"",PS,"NULL"\r\nshort\r\n',
     )
     got = read_bronze(spark, [path]).collect()
     assert [tuple(row) for row in got] == [('A, "B"', "x\\", "1"), (None, "PS", "NULL"), ("short", None, None)]
