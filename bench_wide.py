@@ -87,7 +87,7 @@ def main() -> None:
 
     def build_silver() -> None:
         typed = to_silver(jobs.institution_bronze(spark, bronze), INSTITUTION_COLUMNS, "year")
-        write_partitioned(typed, lake, "year")
+        write_partitioned(typed, lake, "year", compact=True)
 
     silver_build = seconds(build_silver, runs=1)
     silver = read_lake(spark, lake)

@@ -97,7 +97,7 @@ def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> No
     the audit and silver both read.
     """
     staged = shared_folder(spark, "institution-text")
-    write_partitioned(institution_bronze(spark, bronze), staged, "year")
+    write_partitioned(institution_bronze(spark, bronze), staged, "year", compact=True)
     institutions = read_lake(spark, staged)
     write_csv(
         null_token_audit(institutions, INSTITUTION_COLUMNS, "year").orderBy("year", "column"),
@@ -111,6 +111,7 @@ def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> No
         to_silver(program_bronze(spark, bronze), PROGRAM_COLUMNS, "cohort"),
         f"{lake_folder}/program",
         "cohort",
+        compact=True,
     )
     codes = read_code_list(spark, f"{bronze}/{CODE_LIST}")
     family_codes(codes).write.mode("overwrite").parquet(f"{lake_folder}/cip_family")

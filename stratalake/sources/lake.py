@@ -30,10 +30,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def write_partitioned(
     df: DataFrame, path: str, key: str, incremental: bool = False, compact: bool = False
 ) -> None:
-    """Parquet under ``key=value`` folders, without a shuffle: each task writes what it read.
+    """Parquet under ``key=value`` folders; each task writes what it read, without a shuffle.
 
-    ``incremental`` replaces only the partitions present in ``df``. ``compact`` first evens out the file sizes
-    (adaptive execution splits a dominant ``key`` over several writers and merges small ones).
+    ``incremental`` replaces only the partitions present in ``df``. ``compact`` is for wide text cut to a few
+    columns, where a task's output is about a hundredth of its input and files would be tiny: the narrow rows are
+    exchanged once, adaptive execution merges small partitions and splits a dominant ``key`` over several writers.
     """
     out = df.hint("rebalance", key) if compact else df
     mode = "dynamic" if incremental else "static"

@@ -50,7 +50,8 @@ def refresh_years(
         return
     paths = sorted(row["dataset"] for row in found)
     bronze = read_bronze(spark, paths, key, key_pattern, columns=list(columns))
-    write_partitioned(to_silver(bronze, columns, key), silver_path, key, incremental=True)
+    silver = to_silver(bronze, columns, key)
+    write_partitioned(silver, silver_path, key, incremental=True, compact=True)
 
 
 def stream_refresh(
