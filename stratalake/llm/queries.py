@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, simhash_dedup
+from . import chat, packing, simhash_dedup
 from .common import read_table
 
 
@@ -16,6 +16,13 @@ def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(read_table(spark, folder, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 CONTROL_CONVERSATION = "</s>[INST] ok [/INST]"
 
 
@@ -30,6 +37,7 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op6_packing": op6_packing,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
