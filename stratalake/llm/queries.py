@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, simhash_dedup
+from . import chat, doc_fingerprints, packing, simhash_dedup
 from .common import read_table
 
 
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     labels = simhash_dedup.near_duplicates(read_table(spark, folder, "documents"))
     return labels.select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", hex16("fp").alias("fingerprint"), "component_id"
     )
 
 
@@ -23,6 +23,24 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def hex16(bits: str) -> Column:
+    return F.lower(F.lpad(F.hex(bits), 16, "0"))
+
+
+def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = doc_fingerprints.edited_fingerprints(read_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        hex16("fp").alias("fingerprint"),
+        hex16("edited_fp").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "n_within",
+    )
+
+
 CONTROL_CONVERSATION = "</s>[INST] ok [/INST]"
 
 
@@ -38,6 +56,7 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_packing": op6_packing,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
