@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, doc_fingerprints, packing, simhash_dedup
+from . import chat, doc_fingerprints, packing, pii, simhash_dedup
 from .common import read_table
 
 
@@ -53,11 +53,26 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.readback(chat.conversations(chat.chain(rows.unionByName(planted))))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(read_table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}")
+        for i, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.sort_array(F.concat("base", "more"))).alias("spans"),
+    )
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_packing": op6_packing,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {
