@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, doc_fingerprints, packing, pii, simhash_dedup
+from . import chat, decontamination, doc_fingerprints, packing, pii, simhash_dedup
 from .common import read_table
 
 
@@ -16,6 +16,13 @@ def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.overlaps(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+    return found.drop("text_hash")
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, folder, "documents"))
     return pieces.select(
@@ -69,6 +76,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
