@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, doc_fingerprints, packing, pii, simhash_dedup
+from . import chat, decontamination, doc_fingerprints, packing, pii, simhash_dedup, url_filters
 from .common import read_table
 
 
@@ -16,6 +16,33 @@ def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Verdict, host and path of the rules that go before the mined ones.
+URL_RULES = [
+    (url_filters.ALLOW, "org", "/"),
+    (url_filters.BLOCK, "example.org", "/es/"),
+    (url_filters.BLOCK, "example.org", "/en/1"),
+    (url_filters.ALLOW, "com", "/fr/"),
+    (url_filters.BLOCK, "com", "/de/"),
+]
+
+
+# Host words that mark a page as one to block before any mining.
+SEED_HOST_WORDS = ["ads", "adult", "bets", "casino", "pills", "porn", "spam"]
+
+
+def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels to mine: a host with a seed word is to be blocked; else a page takes the label of the document of its
+    id, to be blocked if that is of low quality or toxic."""
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    seeded = F.arrays_overlap(F.split(url_filters.host(F.col("url")), "[.-]+"), F.array(*map(F.lit, SEED_HOST_WORDS)))
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    verdict = F.when(seeded | bad, F.lit(url_filters.BLOCK)).when(F.col("doc_id").isNotNull(), F.lit(url_filters.ALLOW))
+    documents = read_table(spark, folder, "labels").select("doc_id", "quality", "toxic").dropDuplicates(["doc_id"])
+    labels = pages.join(documents, F.col("page_id") == F.col("doc_id"), "left").select("page_id", verdict.alias("verdict"))
+    judged = url_filters.judge(pages, labels.where("verdict IS NOT NULL"), URL_RULES, label_id_col="page_id")
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.overlaps(
         read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
@@ -76,6 +103,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_url_filters": op3_url_filters,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op8_document_fingerprints": op8_document_fingerprints,
