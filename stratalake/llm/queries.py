@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, doc_fingerprints, packing, pii, simhash_dedup, url_filters
+from . import chat, decontamination, doc_fingerprints, packing, pii, simhash_dedup, toxicity, url_filters
 from .common import read_table
 
 
@@ -57,6 +57,19 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def crc_mod(column: str, n: int) -> Column:
+    """The CRC-32 of the id as text, modulo ``n``; null ids have none."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    labels = read_table(spark, folder, "labels").where(~held_out)
+    scored = toxicity.classify(read_table(spark, folder, "documents"), labels)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, "n_hits")
+
+
 def hex16(bits: str) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
 
@@ -106,6 +119,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_pii": op10_pii,
