@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, doc_fingerprints, packing, pii, simhash_dedup, toxicity, url_filters
+from . import chat, decontamination, doc_fingerprints, language_id, packing, pii, simhash_dedup, toxicity, url_filters
 from .common import read_table
 
 
+def crc_mod(column: str, n: int) -> Column:
+    """The CRC-32 of the id as text, modulo ``n``; null ids have none."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def hex16(bits: str) -> Column:
+    return F.lower(F.lpad(F.hex(bits), 16, "0"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     labels = simhash_dedup.near_duplicates(read_table(spark, folder, "documents"))
     return labels.select(
@@ -43,6 +52,13 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.overlaps(
         read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
@@ -57,11 +73,6 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def crc_mod(column: str, n: int) -> Column:
-    """The CRC-32 of the id as text, modulo ``n``; null ids have none."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % n
-
-
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
     labels = read_table(spark, folder, "labels").where(~held_out)
@@ -70,10 +81,6 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, "n_hits")
 
 
-def hex16(bits: str) -> Column:
-    return F.lower(F.lpad(F.hex(bits), 16, "0"))
-
-
 def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     found = doc_fingerprints.edited_fingerprints(read_table(spark, folder, "documents"))
     return found.select(
@@ -117,6 +124,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_url_filters": op3_url_filters,
+    "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
