@@ -111,26 +111,29 @@ def edited_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The next document is the one with the next id, after the last the first. Null text is empty. Each row that repeats
     an id counts; as a next document such an id gives its least beginning. Rows without an id are their own next.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = base.where("doc_id IS NOT NULL")
-    order = following(named.select(F.col("doc_id").alias("id")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # Rows without an id get a key of their own, so that they do not all meet in one place.
+    nameless = F.concat(F.lit("?"), F.hex(F.xxhash64(text)))
+    base = docs.select(F.coalesce(F.col(id_col).cast("long").cast("string"), nameless).alias("key"), text.alias("text"))
+    number = F.when(~F.col("key").startswith("?"), F.col("key").cast("long"))
     share = F.floor(F.length("text") / 4).cast("int")
-    sizes = named.groupBy(F.col("doc_id").alias("id")).agg(F.max(share).alias("share"))
-    needed = order.join(sizes, "id").select(F.col("id").alias("wanted_by"), F.col("next").alias("doc_id"), "share")
-    # Whole texts are dealt by id once; only the part that replaces a quarter travels to the document before.
-    heads = named.join(needed, "doc_id").select(
-        F.col("wanted_by").alias("doc_id"),
-        F.col("doc_id").alias("next_id"),
-        F.substring("text", F.lit(1), F.col("share")).alias("head"),
+    sizes = base.select(number.alias("id"), share.alias("share")).where("id IS NOT NULL")
+    sizes = sizes.groupBy("id").agg(F.max("share").alias("share"))
+    needed = following(base.select(number.alias("id"))).join(sizes, "id").select(
+        F.col("next").cast("string").alias("key"), F.col("id").alias("wanted_by"), "share"
     )
-    heads = heads.groupBy("doc_id", "next_id").agg(F.min("head").alias("head"))
-    rows = named.join(heads, "doc_id", "left").unionByName(
-        base.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("long").alias("next_id"), F.col("text").alias("head"))
+    # Whole texts are dealt by key once, for both joins; only what replaces a quarter travels to the document before.
+    heads = base.join(needed, "key").select(
+        F.col("wanted_by").cast("string").alias("key"),
+        number.alias("next_id"),
+        F.substring("text", F.lit(1), F.col("share")).alias("head"),
     )
+    heads = heads.groupBy("key").agg(F.min("next_id").alias("next_id"), F.min("head").alias("head"))
     edited = F.concat(
-        F.substring("text", F.lit(1), F.length("text") - share), F.substring("head", F.lit(1), share)
+        F.substring("text", F.lit(1), F.length("text") - share),
+        F.substring(F.coalesce("head", "text"), F.lit(1), share),
     )
-    return rows.select("doc_id", "next_id", "text", edited.alias("edited"))
+    return base.join(heads, "key", "left").select(number.alias("doc_id"), "next_id", "text", edited.alias("edited"))
 
 
 def edited_fingerprints(
@@ -152,11 +155,11 @@ def edited_fingerprints(
         "doc_id",
         "next_id",
         F.length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        F.sha2("text", 256).alias("sha256"),
+        F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+        F.xxhash64("text").alias("text_hash"),
         F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))).alias("of"),
     )
-    names = ["doc_id", "next_id", "n_chars", "edited_sha256", "sha256"]
+    names = ["doc_id", "next_id", "n_chars", "edited_sha256", "text_hash"]
     sides = votes(rows.select(*names, "of.side", "of.text"), [*names, "side"], "text", term_words)
     prints = stored(
         sides.groupBy(*names).agg(
@@ -182,7 +185,7 @@ def edited_fingerprints(
         .select(
             "doc_id",
             "n_chars",
-            "edited_sha256",
+            F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
             "fp",
             "edited_fp",
             likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
