@@ -15,6 +15,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +33,25 @@ SOLVER_STEPS = 400
 # Pieces of one length are ranked in groups of about this many, so a length most documents have is shared by tasks.
 RANKED_ROWS = 100_000
 # Words whose ids a worker remembers, and the longest such word in bytes.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 1_200_000
 LONGEST_REMEMBERED = 64
+PROBES = ("the", "thandion", "a", "xqzvk", "unbelievably", "s", "l", "don", "éàü", "straße", "ñandú", "œuvre")
+LAST_PLAIN = "ſ"  # letters up to here are composed and have one lower case
+# Byte-level models spell a byte as its own printable character, others as characters from 256 on, in order.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(b) for b in PRINTABLE} | {
+    b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))
+}
+MARKS = (".", ",", ";", ":", "!", "?")
+MARK_BYTES = frozenset(mark.encode() for mark in MARKS)
 
 
 class WordIds(dict):
     """Ids of a word as little-endian 32-bit integers, remembered.
 
-    Valid for tokenizers that never join characters across ASCII white space and drop it, as the default one.
+    Valid for tokenizers that never join characters across ASCII white space and drop it, as the default one. Words
+    that only differ in what the tokenizer ignores share their ids: at loading, probes show whether it lower-cases,
+    whether it parts a final mark from a word, and whether its model alone tokenizes a plain word.
     """
 
     def __init__(self, path: str):
@@ -47,10 +59,28 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.lowers = all(self.ids(w.title()) == self.ids(w) == self.ids(w.upper()) for w in PROBES)
+        self.parts = all(self.ids(w + mark) == self.ids(w) + self.ids(mark) for w in PROBES for mark in MARKS)
+        self.plain = all(self.model_ids(w) == self.ids(w) for w in PROBES)
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def model_ids(self, word: str) -> list[int]:
+        spelled = "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
+        return [token.id for token in self.tokenizer.model.tokenize(spelled)]
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        low = word.lower() if self.lowers and b"<" not in word else word
+        if low != word:
+            packed = self[low]
+        elif self.parts and word[-1:] in MARK_BYTES and word[-2:-1].isalnum():
+            packed = self[word[:-1]] + self[word[-1:]]
+        else:
+            text = word.decode("utf-8", "replace")
+            known = self.plain and text.isalpha() and text == text.lower() and max(text) <= LAST_PLAIN
+            ids = self.model_ids(text) if known else self.ids(text)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED_WORDS:
                 self.clear()
@@ -76,7 +106,7 @@ def cuts(tokens: int, window: int) -> list[tuple[int, int]]:
 
 
 def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, window: int) -> DataFrame:
-    """``(piece, doc_id, start, length, doc_tokens, ids)``; ``ids`` are little-endian unsigned 32-bit integers.
+    """``(piece, doc_id, start, length, doc_tokens, packed)``; ``packed`` is what ``compressed`` makes of the ids.
 
     Each document ends with ``end_id``; a null text is empty and has only that. ``piece`` numbers pieces by task and
     position and is meant to be stored before use.
@@ -86,6 +116,7 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer)
         number = TaskContext.get().partitionId() << 40
+        codec = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rows: list[tuple] = []
             held = 0
@@ -93,7 +124,8 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id
                 ids = b"".join(map(known.__getitem__, text.split())) + end
                 tokens = len(ids) // 4
                 for start, length in cuts(tokens, window):
-                    rows.append((number, doc_id, start, length, tokens, ids[4 * start : 4 * (start + length)]))
+                    part = compressed(codec, ids[4 * start : 4 * (start + length)])
+                    rows.append((number, doc_id, start, length, tokens, part))
                     number += 1
                 held += len(ids)
                 if held > 16 << 20:
@@ -104,12 +136,35 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_batches(
-        narrow, run, "piece long, doc_id long, start long, length long, doc_tokens long, ids binary"
+        narrow, run, "piece long, doc_id long, start long, length long, doc_tokens long, packed binary"
     )
 
 
+def compressed(codec: zstandard.ZstdCompressor, ids: bytes) -> bytes:
+    """32-bit ids with their bytes sorted by significance, so that the mostly empty upper ones shrink to nothing."""
+    return codec.compress(np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def expanded(pieces: DataFrame) -> DataFrame:
+    """``packed`` as ``ids``: little-endian unsigned 32-bit integers."""
+    names = ["doc_id", "start", "length", "packed", "doc_tokens", "sequence_id", "offset"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):  # ids are several times larger than their packed form
+                part = batch.slice(at, 1000)
+                planes = (np.frombuffer(codec.decompress(p), np.uint8) for p in part.column(3).to_pylist())
+                ids = pa.array([p.reshape(4, -1).T.tobytes() for p in planes], pa.binary())
+                columns = [ids if name == "packed" else part.column(i) for i, name in enumerate(names)]
+                yield pa.RecordBatch.from_arrays(columns, [name.replace("packed", "ids") for name in names])
+
+    schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    return map_batches(pieces.select(*names), run, schema)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["piece", "doc_id", "start", "length", "doc_tokens", "ids"]
+    names = ["piece", "doc_id", "start", "length", "doc_tokens", "packed"]
     kinds = [pa.int64()] * 5 + [pa.binary()]
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -271,6 +326,4 @@ def pack(
         .where((rank >= F.col("first")) & (rank < F.col("after")))
         .select("piece", (F.col("sequence") + rank - F.col("first")).alias("sequence_id"), "offset")
     )
-    return pieces.join(placed, "piece").select(
-        "doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"
-    )
+    return expanded(pieces.join(placed, "piece"))
