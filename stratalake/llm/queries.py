@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, doc_fingerprints, language_id, packing, pii, simhash_dedup, toxicity, url_filters
+from . import chat, decontamination, doc_fingerprints, language_id, packing, pii, simhash_dedup, suffix_dedup, toxicity, url_filters
 from .common import read_table
 
 
@@ -18,6 +18,17 @@ def hex16(bits: str) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.cut_repeats(read_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     labels = simhash_dedup.near_duplicates(read_table(spark, folder, "documents"))
     return labels.select(
@@ -122,6 +133,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_language_id": op4_language_id,
