@@ -129,6 +129,6 @@ def decontaminate(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", tex
     """The rows of ``docs`` whose text overlaps no test item; all other rows and columns stay as they are."""
     found = overlaps(docs, tests, id_col, text_col, **settings)
     leaked = found.select(F.col("doc_id").alias("leaked_id"), F.col("text_hash").alias("leaked_hash")).distinct()
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    same = (F.xxhash64(text) == F.col("leaked_hash")) & F.col(id_col).cast("long").eqNullSafe(F.col("leaked_id"))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    same = (F.xxhash64(text) == leaked["leaked_hash"]) & docs[id_col].cast("long").eqNullSafe(leaked["leaked_id"])
     return docs.join(leaked, same, "left_anti")

@@ -216,10 +216,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **se
     more = found.where(F.size("more") > 0).select(
         F.col("doc_id").alias("pii_id"), F.col("text_hash").alias("pii_hash"), F.col("more").alias("pii_more")
     ).distinct()
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    same = (F.xxhash64(text) == F.col("pii_hash")) & F.col(id_col).cast("long").eqNullSafe(F.col("pii_id"))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    same = (F.xxhash64(text) == more["pii_hash"]) & docs[id_col].cast("long").eqNullSafe(more["pii_id"])
     joined = docs.join(more, same, "left")
-    spans = F.concat(base_spans(text), F.coalesce("pii_more", F.array().cast(f"array<{SPAN}>")))
+    spans = F.concat(base_spans(text), F.coalesce(more["pii_more"], F.array().cast(f"array<{SPAN}>")))
     ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -231,5 +231,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **se
         )
 
     cleaned = F.aggregate(ordered, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    changed = F.when(F.col(text_col).isNull() | (F.size(spans) == 0), F.col(text_col)).otherwise(cleaned)
-    return joined.withColumn(text_col, changed).select(*docs.columns)
+    changed = F.when(docs[text_col].isNull() | (F.size(spans) == 0), docs[text_col]).otherwise(cleaned)
+    return joined.select(*[changed.alias(c) if c == text_col else docs[c] for c in docs.columns])
