@@ -3,13 +3,16 @@
 Suffixes are classed as smaller or larger than their right neighbour. The leftmost smaller ones split the text into
 substrings; these are sorted by one round of induction, named, and ordered by sorting the shorter string of names
 recursively. A second round of induction orders all suffixes. On byte texts whole buckets are induced at once in
-numpy; strings of names have too many small buckets for that and are induced suffix by suffix.
+numpy; strings of names have too many small buckets for that and are induced along chains of suffixes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+# Positions compared with the text at once.
+COMPARED = 1 << 16
+
 
 def smaller_suffixes(s: np.ndarray) -> np.ndarray:
     """For each suffix whether it is smaller than the one after it; the last, the sentinel, is."""
@@ -76,37 +79,52 @@ def induce(s: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sigma: int) ->
     return sa
 
 
-def induce_each(s: list[int], smaller: list[bool], seeds: list[int], sigma: int) -> list[int]:
-    """``induce`` suffix by suffix, for strings with many symbols."""
+def _along_chains(keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Ranks of all positions by the keys met on the way from each to its end; keys at ends are all different.
+
+    Ways double in length each round, and only positions that are still tied are compared again.
+    """
+    n = len(keys)
+    ranks = np.zeros(n, dtype=np.int64)
+    tied, values, step = np.arange(n), keys, 1
+    while len(tied):
+        order = np.argsort(values)
+        at, values, group = tied[order], values[order], ranks[tied[order]]
+        index = np.arange(len(at))
+        new = np.append(True, values[1:] != values[:-1])
+        first = np.maximum.accumulate(np.where(new, index, 0))
+        ranks[at] = group + first - np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]), index, 0))
+        alone = new & np.append(new[1:], True)
+        tied = at[~alone & (at < ends[at])]
+        values = ranks[tied] * (n + 1) + ranks[np.minimum(tied + step, ends[tied])]
+        step *= 2
+    return ranks
+
+
+def induce_chains(s: np.ndarray, smaller: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """``induce`` for strings with many symbols, whose buckets are too small to be taken one by one.
+
+    A larger suffix is followed by larger ones up to the next seed, so its place follows from the symbols on the way
+    and the seed's rank; then a smaller suffix's from the symbols up to the next larger one and that one's rank.
+    """
     n = len(s)
-    counts = [0] * sigma
-    for c in s:
-        counts[c] += 1
-    ends, total = [0] * sigma, 0
-    for c in range(sigma):
-        total += counts[c]
-        ends[c] = total
-    sa = [-1] * n
-    tails = ends[:]
-    for i in reversed(seeds):
-        tails[s[i]] -= 1
-        sa[tails[s[i]]] = i
-    heads = [e - c for e, c in zip(ends, counts, strict=True)]
-    for k in range(n):
-        i = sa[k] - 1
-        if i >= 0 and not smaller[i]:
-            c = s[i]
-            sa[heads[c]] = i
-            heads[c] += 1
-    tails = ends[:]
-    for k in range(n - 1, -1, -1):
-        i = sa[k] - 1
-        if i >= 0 and smaller[i]:
-            c = s[i]
-            tails[c] -= 1
-            sa[tails[c]] = i
-    sa[0] = n - 1
-    return sa
+    here = np.arange(n)
+    given = np.zeros(n, dtype=np.int64)
+    given[seeds] = np.arange(1, len(seeds) + 1)
+    # Of equal symbols larger suffixes come first. Smaller ones that are no seed play no part yet.
+    keys = (2 * s + smaller) * (n + 1) + given
+    part = ~smaller | (given > 0)
+    ends = np.where(given > 0, here, n - 1)
+    ends = np.minimum.accumulate(ends[::-1])[::-1]
+    ranks = _along_chains(np.where(part, keys, -1), np.where(part, ends, here))
+    larger = np.flatnonzero(~smaller)
+    given = np.zeros(n, dtype=np.int64)
+    given[larger[np.argsort(ranks[larger])]] = np.arange(1, len(larger) + 1)
+    keys = (2 * s + smaller) * (n + 1) + given
+    keys[-1] = -1
+    ends = np.where(smaller, n - 1, here)
+    ends = np.minimum.accumulate(ends[::-1])[::-1]
+    return np.argsort(_along_chains(keys, ends))
 
 
 def _names(s: np.ndarray, ordered: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -140,7 +158,7 @@ def suffix_array(s: np.ndarray, sigma: int, few_symbols: bool = True) -> np.ndar
     def induced(seeds: np.ndarray) -> np.ndarray:
         if few_symbols:
             return induce(s, smaller, seeds, sigma)
-        return np.array(induce_each(s.tolist(), smaller.tolist(), seeds.tolist(), sigma), dtype=np.int64)
+        return induce_chains(s, smaller, seeds)
 
     rough = places[np.argsort(s[places], kind="stable")]
     around = induced(rough)
@@ -170,15 +188,17 @@ def permuted_common_prefixes(s: np.ndarray, sa: np.ndarray, block: int = 16) ->
     at = np.arange(1, n)
     has = before[1:] > 0
     compared[1:][has] = s[at[has] - 1] != s[before[1:][has] - 1]
-    padded = np.concatenate([s, np.arange(-1, -block - 1, -1)])
+    padded = np.concatenate([s, np.arange(-1, -block - 1, -1)]).astype(np.int16 if s.max() < 1 << 15 else np.int64)
     windows = np.lib.stride_tricks.sliding_window_view(padded, block)
     shared = np.zeros(n, dtype=np.int64)
-    open_at = np.flatnonzero(compared & (before >= 0))
-    while len(open_at):
-        left, right = open_at + shared[open_at], before[open_at] + shared[open_at]
-        equal = windows[np.minimum(left, n)] == windows[np.minimum(right, n)]
-        whole = equal.all(axis=1)
-        shared[open_at] += np.where(whole, block, equal.argmin(axis=1))
-        open_at = open_at[whole]
+    waiting = np.flatnonzero(compared & (before >= 0))
+    for part in range(0, len(waiting), COMPARED):
+        open_at = waiting[part : part + COMPARED]
+        while len(open_at):
+            left, right = open_at + shared[open_at], before[open_at] + shared[open_at]
+            equal = windows[np.minimum(left, n)] == windows[np.minimum(right, n)]
+            whole = equal.all(axis=1)
+            shared[open_at] += np.where(whole, block, equal.argmin(axis=1))
+            open_at = open_at[whole]
     source = np.maximum.accumulate(np.where(compared, np.arange(n), 0))
     return np.where(before >= 0, np.maximum(shared[source] - (np.arange(n) - source), 0), 0)

@@ -24,9 +24,9 @@ from .suffix_array import permuted_common_prefixes, suffix_array
 WINDOW = 400
 ANCHOR = 64
 BASE = np.uint64(0x9E3779B97F4A7C15)
-# Text handled at once while anchors are sought, and sorted at once in a shard, in bytes.
+# Bytes handled at once while anchors are sought, and sorted at once in a shard.
 BLOCK = 1 << 20
-SHARD = 1 << 20
+SHARD = 1 << 19
 # Different segments under one anchor that a shard takes; beyond, windows are filed by offset in steps of these.
 MOST_SEGMENTS = 4096
 WIDTHS = (32, 1)
