@@ -120,10 +120,11 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(read_table(spark, folder, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}")
-        for i, kind in enumerate(pii.KINDS)
-    ]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(number).alias(f"n_{kind}") for number, kind in enumerate(pii.KINDS)]
     return found.select(
         "doc_id",
         *counts,
@@ -153,7 +154,7 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
         ), sized AS (
             SELECT *, length('<|im_start|>' || role || chr(10) || '<|im_end|>' || chr(10))
-                + length(regexp_replace(text, '([<[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>|</?SYS>>)', '\\1\\\\\\2\\3', 'g')) AS size
+                + length(regexp_replace(text, '([<[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>)', '\\1\\\\\\2\\3', 'g')) AS size
             FROM rows
         )
         SELECT conv_id, count(*) AS n_turns,
