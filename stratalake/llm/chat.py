@@ -15,7 +15,7 @@ from .common import stored
 TURN_START = "<|im_start|>"
 TURN_END = "<|im_end|>"
 # Control strings of common chat templates: what follows the first character `<` or `[`.
-CONTROL_TAILS = r"\||/?s>|/?INST\]|/?SYS>|</?SYS>>"
+CONTROL_TAILS = r"\||/?s>|/?INST\]|/?SYS>"
 TRAINED_ROLE = "assistant"
 
 
