@@ -88,13 +88,13 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, in
         text = text or ""
         for at in range(0, len(text), BLOCK):
             more = at + BLOCK < len(text)
-            piece = f" {text[at:at + BLOCK + overlap]}" if at == 0 else text[at : at + BLOCK + overlap]
-            piece = piece.lower() if more else f"{piece.lower()} "
-            pieces.append(piece)
+            ahead = f"{text[at + BLOCK : at + BLOCK + overlap].lower()} "[:overlap] if more else ""
+            piece = text[at : at + BLOCK].lower()
+            pieces.append(f"{'' if at else ' '}{piece}{ahead or ' '}")
             owners.append(number)
             held += len(piece)
             if more or held >= BLOCK:
-                yield laid(overlap if more else 0)
+                yield laid(len(ahead))
                 pieces, owners, held = [], [], 0
     if pieces:
         yield laid()
