@@ -49,14 +49,6 @@ def main() -> None:
     totals = dq.layer_totals(layers.read_text(spark), layers.read_institutions(spark), fact)
 
     programs, fields, families = (gold[n] for n in ("fact_program", "dim_field", "dim_cip_family"))
-    fact_rows, program_rows = fact.count(), programs.count()
-
-    def outcomes(rows):
-        return marts.outcomes_by_control(fact, control, ow.OUTCOME_YEAR, fact_rows=rows)
-
-    def by_field(rows):
-        return marts.bachelors_by_field(programs, fields, families, ow.COHORT, fact_rows=rows)
-
     def enrollment():
         return marts.enrollment_by_control(cube, control)
 
@@ -69,9 +61,9 @@ def main() -> None:
         "gold_totals": lambda: totals["gold"],
         "measure_availability": availability,
         "enrollment_by_category": enrollment,
-        "outcomes_by_category": lambda: outcomes(fact_rows),
-        "median_trend": lambda: marts.tuition_trend(fact, control, fact_rows=fact_rows),
-        "median_by_family": lambda: by_field(program_rows),
+        "outcomes_by_category": lambda: marts.outcomes_by_control(fact, control, ow.OUTCOME_YEAR),
+        "median_trend": lambda: marts.tuition_trend(fact, control),
+        "median_by_family": lambda: marts.bachelors_by_field(programs, fields, families, ow.COHORT),
         "closures": lambda: marts.closures(fact, dim, control, ow.CUTOFF_YEAR, ow.FINAL_YEAR),
         "category_attribution": lambda: marts.sector_attribution(fact, dim),
         "category_switches": lambda: marts.sector_switches(fact, control),
@@ -82,13 +74,6 @@ def main() -> None:
         "enrollment_pivot": lambda: charts.enrollment_series(enrollment()),
         "peak_year": lambda: charts.peak_year(enrollment(), "Private for-profit"),
     }
-    # The way medians take on large inputs, timed beside the headline.
-    large_input = {
-        "outcomes_by_category": lambda: outcomes(None),
-        "median_trend": lambda: marts.tuition_trend(fact, control),
-        "median_by_family": lambda: by_field(None),
-    }
-
     def timed(query) -> float:
         consume(query())
         times = []
@@ -107,7 +92,6 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
-                "large_input_medians": {name: timed(query) for name, query in large_input.items()},
                 "store_all_layers_sec": round(stored_in, 3),
                 "cpus": cpus,
                 "runs": runs,

@@ -10,7 +10,7 @@ from .dims import (
     year_dim,
 )
 from .latest import latest_nonnull, latest_row, latest_value
-from .median import grouped_medians
+from .median import grouped_medians, middle_values
 from .reshape import differences, layers_agree, peak, pivot_sum, share_matrix, top_bottom
 from .switches import category_changes, switches
 
@@ -26,6 +26,7 @@ __all__ = [
     "family_dim",
     "field_dim",
     "grouped_medians",
+    "middle_values",
     "grouping_of",
     "label_dim",
     "latest_nonnull",

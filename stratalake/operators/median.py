@@ -3,8 +3,10 @@
 ``F.median`` keeps every distinct value of a group in one aggregation buffer, which fails when one group holds a
 large share of the rows. Here rows first shrink to counts per group and value (map-side, then spread by value, so a
 dominant group is shared by all tasks). The value range of each group is cut into parts, the parts are counted, and
-only the part that holds the middle ranks is sorted. Limits and counts are plain aggregates: a stage computed again
-after a lost executor cuts in the same places. An uneven cut costs balance and never changes the answer.
+the part that holds the middle ranks is cut again by its own least and greatest value, a fixed number of rounds. Only
+what is left of it is sorted, so neither far outliers nor a tight band of values bring a group into one task. Limits
+and counts are plain aggregates: a stage computed again after a lost executor cuts in the same places. An uneven cut
+costs balance and never changes the answer.
 """
 
 from __future__ import annotations
@@ -15,9 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARTS = 4096
-
-# Up to this many input rows a whole group fits one aggregation buffer many times over.
-SMALL_INPUT_ROWS = 1_000_000
+ROUNDS = 3
 
 
 def _stretched(value: str) -> str:
@@ -25,100 +25,83 @@ def _stretched(value: str) -> str:
     return f"signum({value}) * log1p(abs({value}))"
 
 
+def middle_values(
+    df: DataFrame, keys: Sequence[str], medians: Mapping[str, Column], few_groups: bool = False
+) -> DataFrame:
+    """``(*keys, __slot, __value, __n, __here, __upto)``: the distinct values left around each group's middle ranks,
+    with their number of rows and the number of rows up to them; ``__slot`` numbers ``medians``."""
+    sized = F.broadcast if few_groups else (lambda frame: frame)
+    quoted = [f"`{key}`" for key in keys]
+    key_copies = [f"`{key}` AS `__of_{key}`" for key in keys]
+    same_part = " AND ".join(
+        [*[f"`{key}` <=> `__of_{key}`" for key in keys], "__slot = __slot_of", "__part = __part_of"]
+    )
+    pairs = ", ".join(f"{i}, __v{i}" for i in range(len(medians)))
+    rows = (
+        df.select(*keys, *[expr.cast("double").alias(f"__v{i}") for i, expr in enumerate(medians.values())])
+        .selectExpr(*quoted, f"stack({len(medians)}, {pairs}) AS (__slot, __value)")
+        .where("__value IS NOT NULL")
+        .groupBy(*keys, "__slot", "__value")
+        .agg(F.count(F.lit(1)).alias("__here"))
+        .withColumn("__part", F.lit(0).cast("long"))
+    )
+    limits = [F.min("__value").alias("__least"), F.max("__value").alias("__most")]
+    chosen = (
+        rows.groupBy(*keys, "__slot")
+        .agg(F.sum("__here").alias("__n"), *limits)
+        .selectExpr(*key_copies, "__slot AS __slot_of", "0L AS __part_of", "__n", "0L AS __before", "__least", "__most")
+    )
+    # Zero-based ranks of the two middle values (equal for an odd count).
+    low, high = "(__n - 1) div 2", "__n div 2"
+    inside = ", ".join([*quoted, "__slot", "__part_of"])
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    columns = [*quoted, "__slot", "__value", "__here"]
+    for cut in range(ROUNDS):
+        at, least, most = (_stretched(c) if cut == 0 else c for c in ("__value", "__least", "__most"))
+        share = f"least(greatest(coalesce(try_divide({at} - {least}, {most} - {least}), 0D), 0D), 1D)"
+        placed = rows.join(sized(chosen), F.expr(same_part)).selectExpr(
+            *columns, "__n", "__before", "__part_of", f"__part_of * {PARTS + 1} + cast({share} * {PARTS} AS BIGINT) AS __part"
+        )
+        chosen = (
+            placed.groupBy(*keys, "__slot", "__n", "__before", "__part_of", "__part")
+            .agg(F.sum("__here").alias("__here"), *limits)
+            .selectExpr("*", f"__before + sum(__here) OVER (PARTITION BY {inside} ORDER BY __part {so_far}) AS __upto")
+            .where(f"__upto - __here <= {high} AND __upto > {low}")
+            .selectExpr(
+                *key_copies, "__slot AS __slot_of", "__part AS __part_of", "__n", "__upto - __here AS __before", "__least", "__most"
+            )
+        )
+        rows = placed.selectExpr(*columns, "__part")
+    upto = f"__before + sum(__here) OVER (PARTITION BY {inside} ORDER BY __value {so_far}) AS __upto"
+    return rows.join(sized(chosen), F.expr(same_part)).selectExpr(*columns, "__n", "__part_of", upto)
+
+
 def grouped_medians(
     df: DataFrame,
     keys: Sequence[str],
     medians: Mapping[str, Column],
     counts: Mapping[str, Column] | None = None,
     few_groups: bool = False,
-    at_most_rows: int | None = None,
 ) -> DataFrame:
     """One row per group: ``counts`` (non-null counts) followed by exact interpolated ``medians``.
 
     ``few_groups`` broadcasts the per-group limits (about 50 bytes per group and measure). Set it only where the
     data model bounds the number of groups, such as labels times years; otherwise Spark decides by size.
-    ``at_most_rows`` is a counted upper bound of the input: below ``SMALL_INPUT_ROWS`` the built-in aggregate
-    does, and its single pass saves the fixed cost of the stages. Without a count the input is taken as large.
     """
     counts = dict(counts or {})
-    if at_most_rows is not None and at_most_rows <= SMALL_INPUT_ROWS:
-        return df.groupBy(*keys).agg(
-            *[F.count(expr).alias(name) for name, expr in counts.items()],
-            *[F.median(expr.cast("double")).alias(name) for name, expr in medians.items()],
-        )
     sized = F.broadcast if few_groups else (lambda frame: frame)
-    quoted = [f"`{key}`" for key in keys]
-    by_group = ", ".join([*quoted, "__slot"])
-    key_copies = [f"`{key}` AS `__of_{key}`" for key in keys]
-    same_group = " AND ".join(
-        [*[f"`{key}` <=> `__of_{key}`" for key in keys], "__slot = __slot_of"]
-    )
-
-    # Slot 0 stands for the row itself, so a group without any value is kept; counted columns weigh 0.
-    columns = [F.lit(0.0)]
-    columns += [F.when(expr.isNotNull(), 0.0) for expr in counts.values()]
-    columns += [expr.cast("double") for expr in medians.values()]
-    pairs = ", ".join(f"{i}, __v{i}" for i in range(len(columns)))
-    weighted = (
-        df.select(*keys, *[column.alias(f"__v{i}") for i, column in enumerate(columns)])
-        .selectExpr(*quoted, f"stack({len(columns)}, {pairs}) AS (__slot, __value)")
-        .where("__value IS NOT NULL")
-        .groupBy(*keys, "__slot", "__value")
-        .agg(F.count(F.lit(1)).alias("__here"))
-    )
-    limits = (
-        weighted.groupBy(*keys, "__slot")
-        .agg(
-            F.sum("__here").alias("__n"),
-            F.min("__value").alias("__least"),
-            F.max("__value").alias("__most"),
-        )
-        .selectExpr(
-            *key_copies,
-            "__slot AS __slot_of",
-            "__n",
-            f"{_stretched('__least')} AS __start",
-            f"{_stretched('__most')} - {_stretched('__least')} AS __span",
-        )
-    )
-    share = f"coalesce(try_divide({_stretched('__value')} - __start, __span), 0D)"
-    placed = weighted.join(sized(limits), F.expr(same_group)).selectExpr(
-        *quoted, "__slot", "__value", "__here", "__n", f"floor({share} * {PARTS}) AS __part"
-    )
-    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-
-    # Zero-based ranks of the two middle values (equal for an odd count).
     low, high = "(__n - 1) div 2", "__n div 2"
-    upto_part = f"sum(__here) OVER (PARTITION BY {by_group} ORDER BY __part {so_far})"
-    middle_parts = (
-        placed.groupBy(*keys, "__slot", "__n", "__part")
-        .agg(F.sum("__here").alias("__here"))
-        .selectExpr("*", f"{upto_part} AS __upto")
-        .where(f"__upto - __here <= {high} AND __upto > {low}")
-        .selectExpr(
-            *key_copies,
-            "__slot AS __slot_of",
-            "__part AS __part_of",
-            "__upto - __here AS __before",
-        )
-    )
-    upto_value = f"sum(__here) OVER (PARTITION BY {by_group}, __part ORDER BY __value {so_far})"
-    ranked = placed.join(
-        sized(middle_parts), F.expr(f"{same_group} AND __part = __part_of")
-    ).selectExpr(
-        *quoted, "__slot", "__value", "__n", "__here", f"__before + {upto_value} AS __upto"
-    )
 
     def value_at(rank: str, slot: int) -> str:
         hit = f"__slot = {slot} AND __upto - __here <= {rank} AND {rank} < __upto"
         return f"max(CASE WHEN {hit} THEN __value END)"
 
-    results = [
-        F.expr(f"coalesce(max(CASE WHEN __slot = {i} THEN __n END), 0L)").alias(name)
-        for i, name in enumerate(counts, start=1)
+    halves = [
+        F.expr(f"{value_at(low, i)} * 0.5D + {value_at(high, i)} * 0.5D").alias(name) for i, name in enumerate(medians)
     ]
-    results += [
-        F.expr(f"{value_at(low, i)} * 0.5D + {value_at(high, i)} * 0.5D").alias(name)
-        for i, name in enumerate(medians, start=1 + len(counts))
-    ]
-    return ranked.groupBy(*keys).agg(*results)
+    found = middle_values(df, keys, medians, few_groups).groupBy(*[F.col(f"`{key}`").alias(f"__of_{key}") for key in keys])
+    every = df.groupBy(*keys).agg(
+        *[F.count(expr).alias(name) for name, expr in counts.items()], F.count(F.lit(1)).alias("__rows")
+    )
+    same_group = " AND ".join([f"`{key}` <=> `__of_{key}`" for key in keys]) or "true"
+    return every.join(sized(found.agg(*halves)), F.expr(same_group), "left").select(*[f"`{c}`" for c in [*keys, *counts, *medians]])

@@ -1,7 +1,4 @@
-"""Analytical marts over the gold tables. Limits and years are parameters; defaults are the published ones.
-
-``fact_rows`` is the counted size of the fact, where the caller knows it (see ``grouped_medians``).
-"""
+"""Analytical marts over the gold tables. Limits and years are parameters; defaults are the published ones."""
 
 from __future__ import annotations
 
@@ -52,7 +49,6 @@ def outcomes_by_control(
     control: DataFrame,
     year: int = 2020,
     degree: int = BACHELORS,
-    fact_rows: int | None = None,
 ) -> DataFrame:
     """Median cost, debt and earnings per sector in one year, among institutions of one degree level."""
     debt, earnings = F.col("median_debt_completers"), F.col("median_earnings_10yr")
@@ -69,7 +65,6 @@ def outcomes_by_control(
         },
         {"institutions": F.lit(1), "with_earnings": earnings},
         few_groups=True,
-        at_most_rows=fact_rows,
     )
     return result.select(
         F.col("label").alias("control"),
@@ -84,7 +79,7 @@ def outcomes_by_control(
 
 
 def tuition_trend(
-    fact: DataFrame, control: DataFrame, degree: int = BACHELORS, fact_rows: int | None = None
+    fact: DataFrame, control: DataFrame, degree: int = BACHELORS
 ) -> DataFrame:
     """Median in-state tuition per year and sector."""
     tuition = F.col("tuition_in_state")
@@ -95,7 +90,6 @@ def tuition_trend(
         {"median_in_state_tuition": tuition},
         {"institutions": tuition},
         few_groups=True,
-        at_most_rows=fact_rows,
     )
     return result.select(
         "year", F.col("label").alias("control"), "institutions", "median_in_state_tuition"
@@ -109,7 +103,6 @@ def bachelors_by_field(
     cohort: str = "1819_1920",
     credential: int = BACHELORS,
     min_with_earnings: int = 100,
-    fact_rows: int | None = None,
 ) -> DataFrame:
     """Median earnings and debt per field family for one cohort and credential level.
 
@@ -129,7 +122,6 @@ def bachelors_by_field(
         },
         {"programs": F.lit(1), "with_earnings": earnings},
         few_groups=True,
-        at_most_rows=fact_rows,
     )
     return (
         result.where(F.col("with_earnings") >= min_with_earnings)
@@ -195,20 +187,16 @@ def sector_switches(fact: DataFrame, control: DataFrame) -> DataFrame:
 
 
 def all_marts(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every mart of the warehouse under its result name (the token totals come from the audit).
-
-    Counting the stored facts reads file footers only.
-    """
+    """Every mart of the warehouse under its result name (the token totals come from the audit)."""
     fact, control = gold["fact_institution_year"], gold["dim_control"]
     institutions, programs = gold["dim_institution"], gold["fact_program"]
-    fact_rows = fact.count()
     return {
         "measure_availability": measure_availability(fact),
         "enrollment_by_control": enrollment_by_control(gold["agg_enrollment_cube"], control),
-        "outcomes_by_control_2020": outcomes_by_control(fact, control, fact_rows=fact_rows),
-        "tuition_trend": tuition_trend(fact, control, fact_rows=fact_rows),
+        "outcomes_by_control_2020": outcomes_by_control(fact, control),
+        "tuition_trend": tuition_trend(fact, control),
         "bachelors_by_field": bachelors_by_field(
-            programs, gold["dim_field"], gold["dim_cip_family"], fact_rows=programs.count()
+            programs, gold["dim_field"], gold["dim_cip_family"]
         ),
         "closures": closures(fact, institutions, control),
         "sector_attribution": sector_attribution(fact, institutions),

@@ -55,11 +55,6 @@ def fact(spark: SparkSession, folder: str) -> DataFrame:
     return gold.fact_institution_year(silver_institutions(spark, folder, columns))
 
 
-def count_rows(spark: SparkSession, folder: str, table: str) -> int:
-    """Rows of one source table, from file footers: an upper bound of the fact derived from it."""
-    return spark.read.parquet(f"{folder}/{table}.parquet").count()
-
-
 def sector_dim(spark: SparkSession, folder: str) -> DataFrame:
     """Institutions with latest sector and years seen only."""
     narrow = silver_institutions(spark, folder, ["UNITID", "CONTROL"])

@@ -275,7 +275,6 @@ def outcomes_by_category(spark: SparkSession, folder: str) -> DataFrame:
         ow.fact(spark, folder),
         label_dim(spark),
         year=ow.OUTCOME_YEAR,
-        fact_rows=ow.count_rows(spark, folder, "orders"),
     )
 
 
@@ -283,7 +282,6 @@ def median_trend(spark: SparkSession, folder: str) -> DataFrame:
     return marts.tuition_trend(
         ow.fact(spark, folder),
         label_dim(spark),
-        fact_rows=ow.count_rows(spark, folder, "orders"),
     )
 
 
@@ -294,7 +292,6 @@ def median_by_family(spark: SparkSession, folder: str) -> DataFrame:
         field_dim(programs, "cipcode", "cipdesc"),
         family_dim(ow.families(spark, folder)),
         cohort=ow.COHORT,
-        fact_rows=ow.count_rows(spark, folder, "lineitem"),
     )
 
 
@@ -368,14 +365,13 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
         tables,
         ow.audit(spark, folder),
         marts.outcomes_by_control(
-            fact, tables["dim_control"], ow.OUTCOME_YEAR, fact_rows=fact.count()
+            fact, tables["dim_control"], ow.OUTCOME_YEAR
         ),
         marts.bachelors_by_field(
             programs,
             tables["dim_field"],
             tables["dim_cip_family"],
             ow.COHORT,
-            fact_rows=programs.count(),
         ),
         outcome_year=ow.OUTCOME_YEAR,
         cohort=ow.COHORT,

