@@ -43,11 +43,11 @@ INSTITUTION_TYPES = {
     "cdr3": "DOUBLE",
 }
 
-# The yearly text file: a customer's latest order of each year, every column as text.
+# The yearly text file: a customer's year, every column as text; codes of the latest order, amounts of all of them.
 BRONZE = """
 latest AS (
   SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey AS k, o_orderstatus AS s,
-         CAST(floor(o_totalprice) AS BIGINT) AS p, o_orderpriority
+         CAST(sum(floor(o_totalprice)) OVER (PARTITION BY o_custkey, year(o_orderdate)) AS BIGINT) AS p, o_orderpriority
     FROM orders
  QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
 ), coded AS (
@@ -89,8 +89,8 @@ latest AS (
               ELSE CAST(p % 60000 + 20000 AS VARCHAR) END AS "MD_EARN_WNE_P10",
          '0.' || lpad(CAST(k % 100 AS VARCHAR), 2, '0') AS "CDR3"
     FROM coded
-    JOIN customer ON c_custkey = o_custkey
-    JOIN nation ON n_nationkey = c_nationkey
+    LEFT JOIN customer ON c_custkey = o_custkey
+    LEFT JOIN nation ON n_nationkey = c_nationkey
 )"""
 
 SILVER = (
@@ -178,7 +178,7 @@ program_bronze AS (
               ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) // 2 AS VARCHAR) END AS earn_mdn_1yr,
          CASE WHEN l_orderkey % 11 = 0 THEN 'PrivacySuppressed' WHEN l_orderkey % 103 = 0 THEN '0'
               ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) + 20000 AS VARCHAR) END AS earn_mdn_4yr
-    FROM lineitem JOIN part ON p_partkey = l_partkey
+    FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
 ), program_silver AS (
   SELECT cohort, """
     + ", ".join(
@@ -375,6 +375,12 @@ ORACLE = {
         CASE WHEN year <= 1997 THEN "ADM_RATE" END AS "ADM_RATE" FROM bronze""",
     "file_key": f'WITH {BRONZE} SELECT year, count(*) AS "rows" FROM bronze GROUP BY year',
     "file_widths": f"WITH {BRONZE} SELECT 27 AS columns, count(DISTINCT year) AS files FROM bronze",
+    "layer_sizes": """
+        SELECT layer, has_files, has_bytes, larger_than_parquet FROM (VALUES
+          ('bronze_institution_csv', true, true, true), ('same_columns_as_csv', true, true, NULL),
+          ('silver_institution_parquet', true, true, NULL), ('silver_program_parquet', true, true, NULL),
+          ('gold_parquet', true, true, NULL)) AS v(layer, has_files, has_bytes, larger_than_parquet)
+         WHERE (SELECT count(*) FROM orders) > 0""",
     "partitioned_scan": f"WITH {SILVER} SELECT year, unitid, control, ugds FROM silver WHERE year = 1998",
     "program_lake": f"""WITH {PROGRAM} SELECT cohort, count(*) AS "rows", CAST(sum(earn_mdn_1yr) AS BIGINT) AS earnings_sum
         FROM program_silver GROUP BY cohort""",

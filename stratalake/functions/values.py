@@ -19,6 +19,8 @@ from pyspark.sql.types import (
 
 from ..schemas import NULL_TOKENS
 
+# Letters of number literals that no decimal number in a file has.
+TYPE_LETTERS = "[dDfFxXpP]"
 SMALL_INTEGERS = (ByteType, ShortType, IntegerType)
 
 
@@ -32,8 +34,9 @@ def blank_tokens(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 
 
 def _number(text: Column) -> Column:
-    """Text to double. Spark would take a trailing type letter ("5f", "12.5d"); file text like that is no number."""
-    return F.translate(text, "dDfF", "????").try_cast("double")
+    """Text to double. Spark would also take a type letter at the end ("5f", "12.5d") or hexadecimal digits with a
+    binary exponent ("0x1p3"); file text like that is no number. Such text has a letter other than e."""
+    return F.when(~text.rlike(TYPE_LETTERS), text).try_cast("double")
 
 
 def _infinity(text: Column) -> Column:

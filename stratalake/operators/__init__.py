@@ -9,7 +9,7 @@ from .dims import (
     label_dim,
     year_dim,
 )
-from .latest import latest_nonnull, latest_row, latest_value
+from .latest import latest_integer, latest_nonnull, latest_row, latest_value
 from .median import grouped_medians, middle_values
 from .reshape import differences, layers_agree, peak, pivot_sum, share_matrix, top_bottom
 from .switches import category_changes, switches
@@ -29,6 +29,7 @@ __all__ = [
     "middle_values",
     "grouping_of",
     "label_dim",
+    "latest_integer",
     "latest_nonnull",
     "latest_row",
     "latest_value",

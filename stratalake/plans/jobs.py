@@ -34,6 +34,7 @@ from ..sources import (
     read_csv_typed,
     read_lake,
     read_tables,
+    remove_folder,
     row_counts,
     save_catalog_tables,
     shared_folder,
@@ -50,9 +51,6 @@ INSTITUTION_FILES = "MERGED*_PP.csv"
 PROGRAM_FILES = "FieldOfStudyData*_PP.csv"
 CODE_LIST = "CIPCode2020.csv"
 
-# Years whose text files are recomputed by the check.
-CHECKED_YEARS = (2000, 2010, 2012, 2020)
-
 
 COUNT_NAMES = (
     "institutions",
@@ -115,7 +113,7 @@ def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> No
     )
     codes = read_code_list(spark, f"{bronze}/{CODE_LIST}")
     family_codes(codes).write.mode("overwrite").parquet(f"{lake_folder}/cip_family")
-    same_columns = f"{lake_folder}/same_columns_csv"
+    same_columns = shared_folder(spark, "same-columns-csv")
     write_csv(read_lake(spark, f"{lake_folder}/institution_year"), same_columns)
     sizes = layer_sizes(
         spark,
@@ -129,6 +127,8 @@ def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> No
     )
     megabytes = sizes.select("layer", "files", F.round(F.col("bytes") / 1e6, 1).alias("mb"))
     write_json(megabytes.orderBy("layer"), f"{results}/lake_sizes")
+    remove_folder(spark, same_columns)
+    remove_folder(spark, staged)
 
 
 def silver_tables(spark: SparkSession, lake_folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -201,20 +201,27 @@ def build(
 
 
 def check(
-    spark: SparkSession, bronze: str, lake_folder: str, gold_folder: str, results: str
+    spark: SparkSession,
+    bronze: str,
+    lake_folder: str,
+    gold_folder: str,
+    results: str,
+    years: Sequence[int] | None = None,
 ) -> DataFrame:
-    """The reconciliation report over stored layers and marts; only some years of text are read again."""
+    """The reconciliation report over stored layers and marts; ``years`` limits the text read again, default all."""
     institutions, programs, _ = silver_tables(spark, lake_folder)
-    agreement = spark.read.schema("pair string, differences long").json(f"{results}/layers_agree")
+    agreement = None
+    if years is not None:  # totals of all layers are only comparable over all years
+        agreement = spark.read.schema("pair string, differences long").json(f"{results}/layers_agree")
     return dq.dq_report(
-        institution_bronze(spark, bronze, years=CHECKED_YEARS),
+        institution_bronze(spark, bronze, years=years),
         institutions,
         programs,
         read_tables(spark, gold.TABLES, gold_folder),
         read_csv_typed(spark, f"{results}/suppression_by_year", AUDIT_SCHEMA),
         _mart(spark, results, "outcomes_by_control_2020", _OUTCOMES),
         _mart(spark, results, "bachelors_by_field", _BY_FIELD),
-        years=CHECKED_YEARS,
+        years=years,
         agreement=agreement,
     )
 
@@ -270,6 +277,7 @@ def main(argv: list[str] | None = None) -> int:
     for folder in ("bronze", "lake", "gold", "results"):
         parser.add_argument(f"--{folder}")
     parser.add_argument("--buckets", type=int, default=0)
+    parser.add_argument("--years", type=int, nargs="*", help="years of text the check reads again; all by default")
     options = parser.parse_args(argv)
     spark = build_session("stratalake")
     if options.job == "lake":
@@ -279,7 +287,9 @@ def main(argv: list[str] | None = None) -> int:
             spark, options.bronze, options.lake, options.gold, options.results, options.buckets
         )
     elif options.job == "check":
-        report = check(spark, options.bronze, options.lake, options.gold, options.results)
+        report = check(
+            spark, options.bronze, options.lake, options.gold, options.results, options.years or None
+        )
         write_csv(report, f"{options.results}/dq_report", single=True)
         stored = read_csv_typed(spark, f"{options.results}/dq_report", "check string, failures long")
         stored.orderBy("check").show(50, truncate=False)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio, round_places
-from ..operators import cube_level, grouped_medians, switches
+from ..operators import cube_level, grouped_medians, latest_integer, switches
 from ..schemas import AVAILABILITY_MEASURES
 from .gold import CUBE_DIMS
 
@@ -138,7 +138,7 @@ def closures(
     early = (
         fact.where((F.col("year") <= cutoff) & F.col("control").isNotNull())
         .groupBy("unitid")
-        .agg(F.max(F.struct("year", "control"))["control"].alias("control"))
+        .agg(latest_integer(F.col("control"), F.col("year")).cast("tinyint").alias("control"))
     )
     gone = F.count_if(F.col("last_year") < final)
     return (

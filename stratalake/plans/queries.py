@@ -21,6 +21,7 @@ from ..schemas import INSTITUTION_COLUMNS
 from ..sources import (
     file_widths,
     layer_sizes,
+    remove_folder,
     read_bronze,
     read_code_list,
     read_csv_typed,
@@ -81,10 +82,12 @@ def file_width_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def layer_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """What the tables determine about the layers' sizes: whether files and bytes exist, and whether the files as
+    delivered take more bytes than the same institutions as Parquet."""
     layers = ow.stored_layers(spark, folder)
     same_columns = shared_folder(spark, "same-columns")
     write_csv(layers.read_institutions(spark), same_columns)
-    return layer_sizes(
+    sizes = layer_sizes(
         spark,
         {
             "bronze_institution_csv": (layers.institution_files(), "*.csv"),
@@ -94,6 +97,16 @@ def layer_bytes(spark: SparkSession, folder: str) -> DataFrame:
             "gold_parquet": (layers.gold, "*.parquet"),
         },
     )
+    rows = sizes.collect()  # one per layer, taken before the copy goes
+    remove_folder(spark, same_columns)
+    silver = next(row["bytes"] for row in rows if row["layer"] == "silver_institution_parquet")
+    as_text = F.col("layer") == "bronze_institution_csv"
+    return spark.createDataFrame(rows, sizes.schema).select(
+        "layer",
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > 0).alias("has_bytes"),
+        F.when(as_text, F.col("bytes") > silver).alias("larger_than_parquet"),
+    )
 
 
 def partitioned_scan(spark: SparkSession, folder: str) -> DataFrame:

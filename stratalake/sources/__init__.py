@@ -11,6 +11,7 @@ from .lake import (
     read_csv_typed,
     read_lake,
     read_tables,
+    remove_folder,
     row_counts,
     save_catalog_tables,
     shared_folder,
@@ -31,6 +32,7 @@ __all__ = [
     "read_csv_typed",
     "read_lake",
     "read_tables",
+    "remove_folder",
     "row_counts",
     "save_catalog_tables",
     "shared_folder",

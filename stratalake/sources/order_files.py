@@ -1,7 +1,8 @@
 """The trading tables presented as yearly text files.
 
-The institution files the warehouse was designed for are not at hand, so a customer's latest order of a year plays
-the institution-year row and a line item plays the program row, over the whole tables. Every value is text, as in a
+The institution files the warehouse was designed for are not at hand, so a customer's year plays the institution-year
+row: its amounts sum all orders of that year, its categories and codes come from the latest one. A line item plays
+the program row. An order without a customer, or a line without a part, keeps its row with the text it has. Every value is text, as in a
 file; null tokens, suppressed values and a few malformed numbers are planted by rules over the order number.
 """
 
@@ -37,16 +38,17 @@ def institution_text(
         orders,
         ["o_custkey", "year"],
         ["o_orderdate", "o_orderkey"],
-        ["o_orderstatus", "o_totalprice", "o_orderpriority"],
+        ["o_orderstatus", "o_orderpriority"],
+        {"paid": F.sum(F.floor("o_totalprice"))},
     )
     if CUSTOMER_COLUMNS & set(wanted):
         customers = spark.read.parquet(f"{folder}/customer.parquet").join(
-            spark.read.parquet(f"{folder}/nation.parquet"), F.col("c_nationkey") == F.col("n_nationkey")
+            spark.read.parquet(f"{folder}/nation.parquet"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
         )
-        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
 
     k, year = F.col("o_orderkey"), F.col("year")
-    price = F.floor("o_totalprice")
+    price = F.col("paid")
     status = F.col("o_orderstatus")
     control = (
         F.when(k % 97 == 0, "NULL").when(status == "F", "1").when(status == "O", "2").otherwise("3")
@@ -100,7 +102,7 @@ def program_text(spark: SparkSession, folder: str) -> DataFrame:
     """``cohort`` and the 10 program columns as text, one row per line item."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     parts = spark.read.parquet(f"{folder}/part.parquet")
-    rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
 
     def two_digits(years_on: int) -> Column:
         return F.right(_text(F.year("l_shipdate") + years_on), F.lit(2))

@@ -22,9 +22,9 @@ def cast_all(spark, texts, dtype):
 
 def test_integers_written_as_text(spark):
     texts = ["12", "12.0", "12.5", "13.5", "-12.5", "-3", " 7 ", "1e3", "", "abc", "200", "NaN"]
-    texts += ["inf", "99999999999", "5f", "12.5d", "+5", "5.", ".5", "-0.5", "2147483647", None]
+    texts += ["inf", "99999999999", "5f", "12.5d", "0x1p3", "0X1P3", "+5", "5.", ".5", "-0.5", "2147483647", None]
     expected = [12, 12, 13, 14, -13, -3, 7, 1000, None, None, 200, None]
-    expected += [None, None, None, None, 5, 5, 1, -1, 2147483647, None]
+    expected += [None, None, None, None, None, None, 5, 5, 1, -1, 2147483647, None]
     assert cast_all(spark, texts, IntegerType()) == expected
 
 

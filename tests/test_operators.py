@@ -108,6 +108,16 @@ def test_latest_nonnull_skips_unknown_values(spark):
     ]
 
 
+def test_latest_integers_need_no_sort(spark):
+    df = spark.createDataFrame(HISTORY, HISTORY_SCHEMA)
+    latest = latest_nonnull(df, "unitid", "year", {"control": "control"}, "first_year", "last_year")
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+    extremes = [(1, -5, -(2**31)), (1, 3, -1), (2, 7, 2**31 - 1), (2, 6, 0), (3, 1, None)]
+    wide = spark.createDataFrame(extremes, "unitid int, year int, x int")
+    got = latest_nonnull(wide, "unitid", "year", {"x": "x"}, "a", "b").select("unitid", "x").collect()
+    assert {row["unitid"]: row["x"] for row in got} == {1: -1, 2: 2**31 - 1, 3: None}
+
+
 def test_latest_row_takes_the_whole_row(spark):
     df = spark.createDataFrame(
         [(1, 10, 5, "a"), (1, 10, 7, None), (1, 9, 99, "c"), (2, 1, 1, "d")], "k int, d int, o int, v string"
