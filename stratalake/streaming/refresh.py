@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..plans.silver import to_silver
-from ..schemas import text_schema
-from ..sources import header_of, list_files, read_bronze, write_partitioned
+from ..sources import list_files, read_bronze, write_partitioned
 
 
 def datasets(spark: SparkSession, folder: str, key_pattern: str, glob: str | None = None) -> DataFrame:
@@ -69,21 +68,15 @@ def stream_refresh(
     A batch only says which years got files; those years are rebuilt from all their files. A batch that Spark
     repeats after a failure therefore neither drops nor doubles rows, and a year may arrive in several batches.
     """
-    # The stream uses only the path of each file; any one layout serves to open them.
-    first = datasets(spark, folder, key_pattern, glob).first()
-    if first is None:
-        return
+    # Only paths are asked for, so no file's content is read before its year is rebuilt.
     reader = (
-        spark.readStream.schema(text_schema(list(header_of(spark, first["dataset"]))))
-        .option("header", True)
-        .option("escape", '"')
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
     )
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    arrivals = reader.csv(folder).select(
-        F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1).alias("key")
-    )
+    arrivals = reader.load(folder).select(F.regexp_extract("path", key_pattern, 1).alias("key"))
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
         # One value per year or cohort: bounded by the calendar.
