@@ -105,9 +105,9 @@ FACT = (
     + """, fact AS (
   SELECT unitid, CAST(year AS SMALLINT) AS year, control, preddeg AS predominant_degree, ugds AS undergrad_enrollment,
          adm_rate AS admission_rate, costt4_a AS cost_of_attendance,
-         CASE WHEN npt4_pub IS NOT NULL THEN npt4_pub ELSE npt4_priv END AS avg_net_price,
+         coalesce(npt4_pub, npt4_priv) AS avg_net_price,
          tuitionfee_in AS tuition_in_state, tuitionfee_out AS tuition_out_of_state, pctpell AS pell_share,
-         CASE WHEN c150_4 IS NOT NULL THEN c150_4 ELSE c150_l4 END AS completion_rate,
+         coalesce(c150_4, c150_l4) AS completion_rate,
          grad_debt_mdn AS median_debt_completers, md_earn_wne_p10 AS median_earnings_10yr, cdr3 AS default_rate_3yr,
          curroper AS operating_flag
     FROM silver
@@ -339,7 +339,7 @@ UNION ALL SELECT 'C2', count(*) FROM (
     EXCEPT SELECT year, undergrads FROM cells WHERE grouping_id = 1 AND control = 3)
 UNION ALL SELECT 'C3', count(*) FROM (
     SELECT year, count(*) FROM bronze WHERE "GRAD_DEBT_MDN" IN ('PS', 'PrivacySuppressed') GROUP BY year
-    EXCEPT SELECT year, sum(CASE WHEN "GRAD_DEBT_MDN" LIKE 'P%S%' THEN 1 END) FROM bronze GROUP BY year)
+    EXCEPT SELECT year, sum(CASE WHEN "GRAD_DEBT_MDN" IN ('PS', 'PrivacySuppressed') THEN 1 END) FROM bronze GROUP BY year)
 UNION ALL SELECT 'C4', count(*) FROM silver
     WHERE opeid6 IN TOKENS OR instnm IN TOKENS OR city IN TOKENS OR stabbr IN TOKENS
 UNION ALL SELECT 'C5', count(*) - count(DISTINCT (unitid, year)) FROM fact
@@ -452,6 +452,20 @@ ORACLE = {
           FROM direct d LEFT JOIN cells c ON c.grouping_id = 1 AND c.year = d.year
            AND c.control IS NOT DISTINCT FROM d.control""",
     "dq_report": DQ,
+    "dq_report_faults": f"""WITH {CUBE}, {PROGRAM}, left_fact AS (
+        SELECT unitid, year, control FROM fact UNION ALL SELECT unitid, year, control FROM fact WHERE unitid % 50 = 0
+    ), left_dim AS (
+        SELECT unitid, CASE WHEN unitid % 80 = 0 THEN 'Old name' ELSE name END AS name, state, last_year
+          FROM dim WHERE unitid % 60 <> 0
+    ), all_dim AS (SELECT * FROM left_dim UNION ALL SELECT * FROM left_dim WHERE unitid % 70 = 0)
+    SELECT 'C4' AS "check", count(*) AS failures FROM silver WHERE unitid % 40 = 0
+    UNION ALL SELECT 'C5', count(*) FROM fact WHERE unitid % 50 = 0
+    UNION ALL SELECT 'C6', (SELECT count(*) FROM left_fact WHERE unitid NOT IN (SELECT unitid FROM all_dim))
+                         + (SELECT count(*) FROM program_fact WHERE unitid NOT IN (SELECT unitid FROM all_dim))
+    UNION ALL SELECT 'C7', count(*) FROM left_fact WHERE control = 3
+    UNION ALL SELECT 'C8', count(*) FROM left_dim WHERE unitid % 70 = 0
+    UNION ALL SELECT 'C9', count(*) FROM all_dim d JOIN silver s ON s.unitid = d.unitid AND s.year = d.last_year
+        WHERE s.instnm <> d.name OR s.stabbr <> d.state""",
     "availability_share": f"""WITH {AVAILABILITY}, long AS (
         SELECT year, institutions, unnest(['enrollment', 'tuition', 'net_price', 'debt', 'earnings_10yr', 'completion']) AS measure,
                unnest([enrollment, tuition, net_price, debt, earnings_10yr, completion]) AS n FROM available)

@@ -367,30 +367,45 @@ def cube_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return dq.cube_mismatches(tables["agg_enrollment_cube"], tables["fact_institution_year"])
 
 
-def dq_report(spark: SparkSession, folder: str) -> DataFrame:
+def _report(spark: SparkSession, folder: str, silver: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     layers = ow.stored_layers(spark, folder)
-    tables = layers.read_gold(spark)
-    fact, programs = tables["fact_institution_year"], tables["fact_program"]
+    stored = layers.read_gold(spark)
     return dq.dq_report(
         layers.read_text(spark),
-        layers.read_institutions(spark),
+        silver,
         layers.read_programs(spark),
         tables,
         ow.audit(spark, folder),
-        marts.outcomes_by_control(
-            fact, tables["dim_control"], ow.OUTCOME_YEAR
-        ),
-        marts.bachelors_by_field(
-            programs,
-            tables["dim_field"],
-            tables["dim_cip_family"],
-            ow.COHORT,
-        ),
+        marts.outcomes_by_control(stored["fact_institution_year"], stored["dim_control"], ow.OUTCOME_YEAR),
+        marts.bachelors_by_field(stored["fact_program"], stored["dim_field"], stored["dim_cip_family"], ow.COHORT),
         outcome_year=ow.OUTCOME_YEAR,
         cohort=ow.COHORT,
     )
 
 
+def dq_report(spark: SparkSession, folder: str) -> DataFrame:
+    layers = ow.stored_layers(spark, folder)
+    return _report(spark, folder, layers.read_institutions(spark), layers.read_gold(spark))
+
+
+def dq_report_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks of tokens, keys, references and names over layers in which faults are planted by rules over ids."""
+    layers = ow.stored_layers(spark, folder)
+    tables = layers.read_gold(spark)
+    unit = F.col("unitid")
+    silver = layers.read_institutions(spark)
+    silver = silver.withColumn("city", F.when(unit % 40 == 0, "NA").otherwise(F.col("city")))
+    fact, dim = tables["fact_institution_year"], tables["dim_institution"]
+    dim = dim.where(unit % 60 != 0).withColumn("name", F.when(unit % 80 == 0, "Old name").otherwise(F.col("name")))
+    faulty = dict(
+        tables,
+        fact_institution_year=fact.unionByName(fact.where(unit % 50 == 0)),
+        dim_institution=dim.unionByName(dim.where(unit % 70 == 0)),
+        dim_control=tables["dim_control"].where("control <> 3"),
+    )
+    return _report(spark, folder, silver, faulty).where(F.col("check").isin("C4", "C5", "C6", "C7", "C8", "C9"))
+
+
 # Chart datasets
 
 
@@ -461,6 +476,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warehouse_counts": warehouse_counts,
     "cube_reconcile": cube_reconcile,
     "dq_report": dq_report,
+    "dq_report_faults": dq_report_faults,
     "availability_share": availability_share,
     "enrollment_pivot": enrollment_pivot,
     "enrollment_overlay": enrollment_overlay,
