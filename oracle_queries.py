@@ -463,7 +463,8 @@ ORACLE = {
     UNION ALL SELECT 'C6', (SELECT count(*) FROM left_fact WHERE unitid NOT IN (SELECT unitid FROM all_dim))
                          + (SELECT count(*) FROM program_fact WHERE unitid NOT IN (SELECT unitid FROM all_dim))
     UNION ALL SELECT 'C7', count(*) FROM left_fact WHERE control = 3
-    UNION ALL SELECT 'C8', count(*) FROM left_dim WHERE unitid % 70 = 0
+    UNION ALL SELECT 'C8', (SELECT count(*) FROM left_dim WHERE unitid % 70 = 0)
+                         + (SELECT count(*) FROM labels3 WHERE control <> 3 AND label = 'Public')
     UNION ALL SELECT 'C9', count(*) FROM all_dim d JOIN silver s ON s.unitid = d.unitid AND s.year = d.last_year
         WHERE s.instnm <> d.name OR s.stabbr <> d.state""",
     "availability_share": f"""WITH {AVAILABILITY}, long AS (

@@ -39,6 +39,27 @@ def _differ(*pairs: tuple[str, str]) -> Column:
     return reduce(lambda a, b: a | b, [~F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
 
 
+# Key of each dimension, and columns that must have a value.
+DIMENSION_KEYS = {
+    "dim_institution": ["unitid"],
+    "dim_control": ["control"],
+    "dim_year": ["year"],
+    "dim_cip_family": ["family"],
+    "dim_field": ["cip"],
+    "dim_credential": ["credential_level", "credential"],
+}
+NEVER_NULL = {"dim_institution": ["unitid"], "dim_control": ["control", "label"], "dim_year": ["year"]}
+
+
+def key_faults(gold: dict[str, DataFrame]) -> DataFrame:
+    """One row ``(failures)``: dimension rows beyond the first of a key, and rows without a required value."""
+    found = [duplicate_keys(gold[name], keys) for name, keys in DIMENSION_KEYS.items()]
+    for name, columns in NEVER_NULL.items():
+        missing = reduce(lambda a, b: a | b, [F.col(column).isNull() for column in columns])
+        found.append(_rows(gold[name].where(missing)))
+    return _total(reduce(DataFrame.unionByName, found))
+
+
 def bronze_totals(bronze: DataFrame, suppressed_column: str, sector: str = "3") -> DataFrame:
     """Per year straight from the text: rows, enrollment, one sector's enrollment, suppressed values."""
     enrolled = clean_cast(F.col("UGDS"), LongType())
@@ -245,7 +266,7 @@ def dq_report(
             _total(_orphans(fact, ids).unionByName(_orphans(programs, ids))),
         ),
             _line("C7", _rows(known.join(F.broadcast(control), "control", "left_anti"))),
-        _line("C8", duplicate_keys(dim, ["unitid"])),
+        _line("C8", key_faults(gold)),
         _line(
             "C9",
             _rows(

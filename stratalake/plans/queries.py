@@ -401,7 +401,7 @@ def dq_report_faults(spark: SparkSession, folder: str) -> DataFrame:
         tables,
         fact_institution_year=fact.unionByName(fact.where(unit % 50 == 0)),
         dim_institution=dim.unionByName(dim.where(unit % 70 == 0)),
-        dim_control=tables["dim_control"].where("control <> 3"),
+        dim_control=tables["dim_control"].where("control <> 3").withColumn("label", F.expr("nullif(label, 'Public')")),
     )
     return _report(spark, folder, silver, faulty).where(F.col("check").isin("C4", "C5", "C6", "C7", "C8", "C9"))
 
