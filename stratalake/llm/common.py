@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +60,17 @@ def utf8(column: pa.Array) -> Iterable[bytes]:
     return (value.as_py() or b"" for value in column.cast(pa.binary()))
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least_rows: int) -> Iterator[pa.Table]:
-    """Re-cut batches sorted by ``key`` into tables of at least ``least_rows`` rows that never split a key."""
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows_each: int) -> Iterator[pa.Table]:
+    """Re-cut batches sorted by ``key`` into tables of about ``rows_each`` rows that never split a key."""
+
+    def parts(table: pa.Table, keys: np.ndarray) -> Iterator[pa.Table]:
+        start = 0
+        while start < table.num_rows:
+            last = min(start + rows_each, table.num_rows) - 1
+            end = int(keys.searchsorted(keys[last], side="right"))
+            yield table.slice(start, end - start)
+            start = end
+
     held: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
@@ -68,17 +78,17 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least_rows: int) -
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows < least_rows:
+        if rows < rows_each:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         keys = table.column(key).to_numpy()
         cut = int(keys.searchsorted(keys[-1]))
-        if cut:
-            yield table.slice(0, cut)
+        yield from parts(table.slice(0, cut), keys[:cut])
         held = table.slice(cut).to_batches()
         rows = table.num_rows - cut
     if rows:
-        yield pa.Table.from_batches(held).combine_chunks()
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield from parts(table, table.column(key).to_numpy())
 
 
 def components(edges: DataFrame) -> DataFrame:
