@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 ALLOW, BLOCK = "allow", "block"
-# A mined rule holds for at least this share of the labelled URLs and at least this many of them.
-MIN_SUPPORT = 0.002
-MIN_ROWS = 10
+# A mined rule holds for at least this many labelled URLs, whatever their number: a share would rise with the input and
+# hide rare hosts. Confidence does the pruning; a least share of all labelled URLs can be asked for besides.
+MIN_SUPPORT = 0.0
+MIN_ROWS = 2
 MIN_CONFIDENCE = 0.9
 LABEL = "label:"
 # Mined rules sent to every task; above this many they are joined by a shuffle.
@@ -83,7 +84,8 @@ def mined_rules(
         return labelled.sparkSession.createDataFrame(
             [], "tokens array<string>, verdict string, confidence double, support double, rarest string"
         )
-    share = min(max(min_support, min_rows / total), 1.0)
+    # FP-growth rounds the share's rows up; half a row less makes that min_rows exactly.
+    share = min(max(min_support, (min_rows - 0.5) / total), 1.0)
     transactions = rows.select(F.array_append("tokens", F.concat(F.lit(LABEL), "verdict")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(transactions)
     found = model.associationRules.where(F.element_at("consequent", 1).startswith(LABEL))

@@ -115,6 +115,32 @@ def test_op3_hosts_paths_and_rules(spark):
         assert best is None or r["verdict"] == best[0]
 
 
+def test_rare_blocked_host_is_blocked_whatever_the_input_size(spark):
+    for total in (500, 20_000):
+        urls = [(i, f"http://{'hot' if i % 3 else f'site{chr(97 + i % 7)}'}.net/{'abcde'[i % 5]}/{i}", "allow") for i in range(total)]
+        urls += [(total + i, f"http://rare.org/{part}/{i}", "block") for i, part in enumerate("ab")]
+        labels = spark.createDataFrame([(i, v) for i, _, v in urls], "doc_id long, verdict string")
+        asked = [(-1, "http://rare.org/new/1"), (-2, "http://hot.net/a/1"), (-3, "http://other.org/a/1")]
+        pages = spark.createDataFrame([(i, u) for i, u, _ in urls] + asked, "page_id long, url string")
+        found = {r["page_id"]: r["verdict"] for r in url_filters.judge(pages, labels, []).collect()}
+        assert [found[i] for i in (-1, -2)] == ["block", "allow"]
+        assert all(found[i] == v for i, _, v in urls)
+
+
+def test_rows_a_rule_needs_are_not_rounded_up(spark):
+    rows = [(["x"], "block")] * 3 + [(["y"], "allow")] * 184  # 3 / 187 * 187 is a little more than 3
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    assert url_filters.mined_rules(labelled, min_rows=3).where("verdict = 'block'").count() == 1
+
+
+@needs_tables
+@pytest.mark.parametrize("folder", [MIDDLE, "/root/testdata/sf0.1"])
+def test_op3_blocks_every_page_of_a_seed_word_no_fixed_rule_decides(spark, folder):
+    found = queries.op3_url_filters(spark, folder).where("rule IS NULL").collect()
+    seeded = [r for r in found if set(re.split("[.-]", r["host"])) & set(queries.SEED_HOST_WORDS)]
+    assert seeded and all(r["verdict"] == "block" for r in seeded)
+
+
 # Language ID
 
 
