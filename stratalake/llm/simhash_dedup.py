@@ -47,16 +47,26 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long. Null text counts as empty."""
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, hashed: bool = False
+) -> DataFrame:
+    """``(doc_id, fp)`` of every row, and ``text_hash`` if ``hashed``; ``fp`` holds the 64 bits as a signed long. Null
+    text counts as empty."""
+    extra = [text_hash(text_col).alias("text_hash")] if hashed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]]
+            )
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(narrow, run, "doc_id long, fp long")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *extra)
+    return map_batches(narrow, run, "doc_id long, fp long" + (", text_hash long" if hashed else ""))
 
 
 def candidate_keys(fp: Column, radius: int) -> Column:
@@ -150,6 +160,16 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return map_batches(ordered, run, "a long, b long")
 
 
+def rooted(prints: DataFrame, first: Column, radius: int) -> DataFrame:
+    """``(fp, first, root)`` of the distinct fingerprints in ``prints``: the aggregate ``first`` of each one's rows and
+    the least fingerprint of its component."""
+    firsts = prints.groupBy("fp").agg(first.alias("first"))
+    roots = stored(components(links(prints.select("fp").distinct(), radius)), "roots")
+    return firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -163,11 +183,7 @@ def near_duplicates(
     id they reach, or null; repeated rows are repeated. An empty table gives no rows. Other columns are not read.
     """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = stored(components(links(prints.select("fp").distinct(), radius)), "roots")
-    known = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    known = rooted(prints, F.min("doc_id"), radius)
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = known.join(least, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
@@ -180,11 +196,18 @@ def deduplicate(
     shingle: int = SHINGLE_WORDS,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component, each id once.
+    """One row of ``docs`` for each component: the one of least id, among several texts of that id of least text hash.
 
-    Rows without an id cannot be named by a component and all stay.
+    An id on unlike texts stands in several components and is kept once for each that it is the least of. Rows
+    without an id cannot be named by a component and all stay.
     """
-    labels = near_duplicates(docs, id_col, text_col, shingle, radius)
-    kept = labels.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id"))
-    named = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi").dropDuplicates([id_col])
+    prints = stored(fingerprints(docs, id_col, text_col, shingle, hashed=True), "fingerprints")
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
+    least = rooted(prints, F.min(row), radius).groupBy("root").agg(F.min("first").alias("least"))
+    kept = least.where("least IS NOT NULL").select(
+        F.col("least.doc_id").alias("kept_id"), F.col("least.text_hash").alias("kept_hash")
+    )
+    marked = docs.withColumn("__text_hash", text_hash(text_col))
+    same = (marked[id_col].cast("long") == kept["kept_id"]) & (marked["__text_hash"] == kept["kept_hash"])
+    named = marked.join(kept, same, "left_semi").dropDuplicates([id_col, "__text_hash"]).drop("__text_hash")
     return named.unionByName(docs.where(F.col(id_col).isNull()))

@@ -206,6 +206,13 @@ def test_deduplicate_keeps_one_row_each_and_rows_without_id(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 3, None]
 
 
+def test_deduplicate_keeps_unlike_texts_of_one_id(spark):
+    one, other, third = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [(1, one), (1, other), (1, other), (2, other), (5, third), (4, third), (4, third + " "), (0, one), (7, None), (7, "")]
+    kept = [(r["doc_id"], (r["text"] or "").strip()) for r in simhash_dedup.deduplicate(table(spark, rows)).collect()]
+    assert sorted(kept) == sorted([(0, one), (1, other), (4, third), (7, "")])
+
+
 # Document fingerprints
 
 
