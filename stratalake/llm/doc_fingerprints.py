@@ -1,7 +1,7 @@
 """SimHash document fingerprints: weighted term hashes vote on signed bits, permuted block tables search by distance.
 
 Only DataFrame functions. A term is a run of ``term_words`` words, weighted by its length in characters; repeats add
-up. The 64 votes of a document are kept as 32 sums of two counters each, so one plain hash aggregate takes them all.
+up. The 64 votes of a document are plain sums of one hash aggregate.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from .common import stored
 
 BITS = 64
 TERM_WORDS = 2
-# Two counters of 32 bits share a long; a document's weights, about its length in characters, stay below 2^31.
-PAIR = 0x0000000100000001
 # Ids ordered by one task, and the most ranges; beyond that ranges grow, at eight bytes an id.
 IDS_PER_RANGE = 20_000
 MOST_RANGES = 1000
@@ -27,7 +25,8 @@ SEARCHED = 100
 def votes(rows: DataFrame, keys: list[str], text_col: str, term_words: int = TERM_WORDS) -> DataFrame:
     """``(*keys, copies, fp)`` for every distinct combination of ``keys``, whose rows must hold equal texts.
 
-    ``fp`` is a signed long, ``copies`` the number of rows. Words are what white space separates, lower-cased; fewer
+    ``fp`` is a signed long, ``copies`` the number of rows. Each bit has a counter of 64 bits, as the weights of all
+    copies add up. Words are what white space separates, lower-cased; fewer
     words than a term make one term, none give zero.
     """
     words = F.split(F.lower(F.trim(F.coalesce(F.col(text_col), F.lit("")), F.lit(" \t\n\r\f\v"))), r"\s+", -1)
@@ -37,16 +36,12 @@ def votes(rows: DataFrame, keys: list[str], text_col: str, term_words: int = TER
     parts = [F.coalesce(F.get("words", F.col("at") + i - 1), F.lit("")) for i in range(term_words)]
     weight = sum((F.length(p) for p in parts[1:]), F.length(parts[0])).cast("long")
     hashed = terms.select(*keys, (F.col("at") == 1).cast("long").alias("row"), F.xxhash64(*parts).alias("h"), weight.alias("w"))
-    pairs = [
-        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(PAIR)) * F.col("w")).alias(f"v{i}") for i in range(BITS // 2)
-    ]
-    counted = hashed.groupBy(*keys).agg(F.sum("row").alias("copies"), F.sum("w").alias("weights"), *pairs)
+    counts = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(1)) * F.col("w")).alias(f"v{i}") for i in range(BITS)]
+    counted = hashed.groupBy(*keys).agg(F.sum("row").alias("copies"), F.sum("w").alias("weights"), *counts)
     bits = []
-    for i in range(BITS // 2):
-        low = F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF))
-        for bit, count in ((i, low), (i + BITS // 2, F.shiftrightunsigned(f"v{i}", 32))):
-            signed = F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("long")
-            bits.append(F.when(count * 2 > F.col("weights"), signed).otherwise(F.lit(0).cast("long")))
+    for i in range(BITS):
+        signed = F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")
+        bits.append(F.when(F.col(f"v{i}") * 2 > F.col("weights"), signed).otherwise(F.lit(0).cast("long")))
     return counted.select(*keys, "copies", F.aggregate(F.array(*bits), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)).alias("fp"))
 
 

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from stratalake.llm import doc_fingerprints, queries, simhash_dedup, suffix_dedup
 from stratalake.llm.common import components
@@ -239,6 +240,13 @@ def test_edited_fingerprints_of_repeated_rows_and_nothing(spark):
     assert doc_fingerprints.edited_fingerprints(table(spark, [])).count() == 0
 
 
+def test_votes_of_many_copies_do_not_overflow(spark):
+    one = spark.range(1).select(F.lit(1).alias("k"), F.repeat(F.lit("x"), F.lit(200_000)).alias("text"))
+    copies = spark.range(0, 12_000, 1, 8).select(F.lit(1).alias("k"), F.repeat(F.lit("x"), F.lit(200_000)).alias("text"))
+    (alone,), (many,) = (doc_fingerprints.votes(rows, ["k"], "text").collect() for rows in (one, copies))
+    assert (alone["copies"], many["copies"], many["fp"]) == (1, 12_000, alone["fp"])
+
+
 @pytest.mark.parametrize("radius", [0, 3, 6])
 def test_block_tables_find_all_within_radius(spark, radius):
     draw = random.Random(radius)
