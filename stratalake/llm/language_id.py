@@ -7,6 +7,7 @@ sample, counts its n-grams and applies the model to every whole text.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import map_batches
 
 UNDETERMINED = "und"
-# Labelled rows of each language, in expectation, that the model is fitted on; a fifth of them calibrates.
+# Labelled rows of each language, at most, that the model is fitted on; a fifth of them calibrates.
 ROWS_PER_LANGUAGE = 600
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -153,14 +154,19 @@ def counted(texts: list[str | None]) -> list[tuple[bytes, bytes]]:
 
 
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
-    """A model from ``(language, buckets, counts)`` rows, in the order given; every fifth row calibrates."""
+    """A model from ``(language, buckets, counts)`` rows, in the order given; every fifth row of a language
+    calibrates. Without five of any language all rows learn and calibrate."""
     names = tuple(sorted({r[0] for r in rows}))
     index = {name: k for k, name in enumerate(names)}
     samples = [(index[name], ids, n / n.sum()) for name, ids, n in rows if len(ids)]
     if not samples:
         return Model((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    learning = [s for i, s in enumerate(samples) if i % 5]
-    calibrating = samples[::5]
+    learning, calibrating = [], []
+    rows_of = [0] * len(names)
+    for sample in samples:
+        rows_of[sample[0]] += 1
+        (learning if rows_of[sample[0]] % 5 else calibrating).append(sample)
+    calibrating = calibrating or samples
     random = np.random.default_rng(SEED)
     table = random.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     output = random.normal(0, 0.1, (DIMENSIONS, len(names)))
@@ -198,21 +204,42 @@ def fit(
     lang_col: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
 ) -> Model:
-    """Learn from the rows of ``docs`` with a language: about ``rows_per_language`` of each, drawn by their id's hash.
+    """Learn from the rows of ``docs`` with a language: of each the ``rows_per_language`` distinct ``(id, text)`` of
+    least hash. Only where fewer are distinct, copies fill up, the second of each row before the third.
 
     Rows without language are not used; without any, the model knows no language and rejects everything.
     """
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     known = docs.where(F.col(lang_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col)).alias("draw"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
+        F.xxhash64(F.col(id_col), text_hash).alias("draw"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
-    totals = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    totals = known.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()
     if not totals:
         return train([])
-    share = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], min(1.0, rows_per_language / r["n"]))])
-    chosen = known.where(F.pmod("draw", F.lit(1_000_000)) / 1_000_000 < share[F.col("lang")])
+    # Hashes are even, so the least ones lie under a bound that a rough count of distinct rows gives; only those are
+    # made distinct and sent here. The bound leaves ten standard deviations and a fifth of the count as room.
+    room = (rows_per_language + 10 * rows_per_language**0.5 + 10) / 0.8
+    bounds = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], min(2.0, room / r["n"]))])
+    low = known.where(F.shiftrightunsigned("draw", 1) / 2.0**63 < bounds[F.col("lang")])
+    by_language: dict[str, list[tuple[int, int, int]]] = {}
+    for r in low.groupBy("lang", "draw").agg(F.count("*").alias("copies")).collect():
+        for copy in range(min(r["copies"], rows_per_language)):
+            by_language.setdefault(r["lang"], []).append((copy, r["draw"] % (1 << 64), r["draw"]))
+    drawn = Counter(
+        (lang, draw) for lang, rows in by_language.items() for _, _, draw in sorted(rows)[:rows_per_language]
+    )
+    named = docs.sparkSession.createDataFrame(sorted(drawn), "lang string, draw long")
+    chosen = low.join(F.broadcast(named), ["lang", "draw"]).select("draw", "text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # of drawn rows, so bounded
         for batch in batches:
+            fresh = []
+            for at, row in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if row not in seen:
+                    seen.add(row)
+                    fresh.append(at)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 100):
                 found = counted(texts[at : at + 100])
@@ -226,9 +253,11 @@ def fit(
                     ["draw", "lang", "ids", "counts"],
                 )
 
-    sample = map_batches(chosen, count, "draw long, lang string, ids binary, counts binary").collect()
+    tables = map_batches(chosen, count, "draw long, lang string, ids binary, counts binary")
+    sample = tables.dropDuplicates(["draw", "lang"]).collect()
     ordered = sorted(sample, key=lambda r: (r["draw"], r["lang"], bytes(r["ids"]), bytes(r["counts"])))
-    return train([(r["lang"], np.frombuffer(r["ids"], "<u2"), np.frombuffer(r["counts"], "<u4")) for r in ordered])
+    rows = [(r["lang"], np.frombuffer(r["ids"], "<u2"), np.frombuffer(r["counts"], "<u4")) for r in ordered for _ in range(drawn[r["lang"], r["draw"]])]
+    return train(rows)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -193,6 +193,20 @@ def test_languages_of_odd_rows(spark):
     assert language_id.identify(docs.limit(0), model).count() == 0
 
 
+def test_sample_is_bounded_without_ids_and_with_copies(spark, monkeypatch):
+    rows = [(None, f"word{chr(97 + i % 26)} {chr(97 + i // 26 % 26)}{chr(97 + i // 676)} text") for i in range(3000)]
+    rows += [(1, "copied words")] * 500 + [(i, f"numbered {chr(97 + i)}") for i in range(5)]
+    docs = table(spark, rows, ["en"] * 3000 + ["de"] * 505)
+    drawn = []
+    monkeypatch.setattr(language_id, "train", lambda sample: drawn.append(sample))
+    for parts in (1, 7):
+        language_id.fit(docs.repartition(parts), rows_per_language=20)
+    samples = [[(lang, ids.tobytes(), counts.tobytes()) for lang, ids, counts in sample] for sample in drawn]
+    assert samples[0] == samples[1]
+    english, german = ([r for r in samples[0] if r[0] == lang] for lang in ("en", "de"))
+    assert len(english) == len(german) == 20 and len(set(german)) == 6
+
+
 # Decontamination
 
 
