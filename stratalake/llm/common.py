@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.lake import shared_folder
@@ -91,6 +91,35 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows_each: int) ->
         yield from parts(table, table.column(key).to_numpy())
 
 
+def numbered(df: DataFrame, order: list[str], groups: list[str] | None = None) -> DataFrame:
+    """``df`` with ``__place``, each row's place (from 0) in its group by ascending ``order``, and ``__size``, the rows
+    of the group. Nulls go first; rows equal in ``order`` are placed as they stand, so ``df`` should be a stored table.
+
+    Rows are dealt by ranges of group and order, then placed in their range; a place in the group adds the rows of
+    earlier ranges. Only one line per range and group is ever summed in one task, so a group may hold all rows.
+    """
+    groups = groups or []
+    keys = [f"`{name}`" for name in [*groups, *order]]
+    dealt = df.withColumn("__stood", F.monotonically_increasing_id()).repartitionByRange(*keys, "__stood")
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(
+        dealt.sortWithinPartitions(*keys, "__stood").withColumns({"__range": F.spark_partition_id(), "__within": within}),
+        "placed",
+    )
+    by_group = Window.partitionBy(*[f"`{name}`" for name in groups])
+    earlier = by_group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        placed.groupBy("__range", *groups)
+        .agg(F.min("__within").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+        .withColumns({"__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)), "__size": F.sum("__rows").over(by_group)})
+        .selectExpr("__range AS __range_of", "__before - __first AS __shift", "__size", *[f"`{g}` AS `__of_{g}`" for g in groups])
+    )
+    same = " AND ".join(["__range = __range_of", *[f"`{name}` <=> `__of_{name}`" for name in groups]])
+    return placed.join(stored(ranges, "ranges"), F.expr(same)).select(
+        *[f"`{name}`" for name in df.columns], (F.col("__within") + F.col("__shift")).alias("__place"), "__size"
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the links ``(a long, b long)``: ``(node, root)`` with the least node as root.
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, doc_fingerprints, language_id, packing, pii, simhash_dedup, suffix_dedup, toxicity, url_filters
+from . import chat, decontamination, doc_fingerprints, importance, language_id, merkle, packing, pii, simhash_dedup
+from . import suffix_dedup, toxicity, url_filters
 from .common import read_table
+from .oracles import ORACLE
 
 
 def crc_mod(column: str, n: int) -> Column:
@@ -133,6 +135,29 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of ids whose CRC-32 five divides are lower-cased (A-Z) after the manifest was made; their proofs fail
+    where that changes anything."""
+    docs = read_table(spark, folder, "documents")
+    lowered = F.translate("text", importance.UPPER, importance.LOWER)
+    values = [lowered if name == "text" else F.col(name) for name in merkle.FIELDS]
+    tampered = F.when(crc_mod("doc_id", 5) == 0, merkle.leaf(values))
+    found = merkle.proofs(docs, also={"tampered": tampered})
+    refolded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        refolded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -144,24 +169,6 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_pii": op10_pii,
-}
-
-ORACLE: dict[str, str] = {
-    "op9_chat_formatting": """
-        WITH rows AS (
-            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
-        ), sized AS (
-            SELECT *, length('<|im_start|>' || role || chr(10) || '<|im_end|>' || chr(10))
-                + length(regexp_replace(text, '([<[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>)', '\\1\\\\\\2\\3', 'g')) AS size
-            FROM rows
-        )
-        SELECT conv_id, count(*) AS n_turns,
-            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-            CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-            CAST(sum(size) AS BIGINT) AS formatted_chars
-        FROM sized GROUP BY conv_id
-    """,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
