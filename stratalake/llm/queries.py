@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, doc_fingerprints, importance, language_id, merkle, packing, pii, simhash_dedup
-from . import suffix_dedup, toxicity, url_filters
+from . import chat, decontamination, doc_fingerprints, html_wrappers, importance, language_id, merkle, packing, pii
+from . import simhash_dedup, suffix_dedup, toxicity, url_filters
 from .common import read_table
 from .oracles import ORACLE
 
@@ -135,6 +135,11 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_wrappers.main_texts(read_table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
@@ -169,6 +174,7 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_pii": op10_pii,
+    "op11_html_extraction": op11_html_extraction,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
