@@ -328,6 +328,7 @@ UNION ALL SELECT 'fields', count(*) FROM field"""
 DQ = (
     "WITH "
     + CUBE
+    + AUDIT.removeprefix(BRONZE)
     + ", "
     + PROGRAM
     + """, checks AS (
@@ -339,7 +340,7 @@ UNION ALL SELECT 'C2', count(*) FROM (
     EXCEPT SELECT year, undergrads FROM cells WHERE grouping_id = 1 AND control = 3)
 UNION ALL SELECT 'C3', count(*) FROM (
     SELECT year, count(*) FROM bronze WHERE "GRAD_DEBT_MDN" IN ('PS', 'PrivacySuppressed') GROUP BY year
-    EXCEPT SELECT year, sum(CASE WHEN "GRAD_DEBT_MDN" IN ('PS', 'PrivacySuppressed') THEN 1 END) FROM bronze GROUP BY year)
+    EXCEPT SELECT year, privacy_suppressed FROM audit WHERE "column" = 'GRAD_DEBT_MDN')
 UNION ALL SELECT 'C4', count(*) FROM silver
     WHERE opeid6 IN TOKENS OR instnm IN TOKENS OR city IN TOKENS OR stabbr IN TOKENS
 UNION ALL SELECT 'C5', count(*) - count(DISTINCT (unitid, year)) FROM fact
@@ -375,12 +376,22 @@ ORACLE = {
         CASE WHEN year <= 1997 THEN "ADM_RATE" END AS "ADM_RATE" FROM bronze""",
     "file_key": f'WITH {BRONZE} SELECT year, count(*) AS "rows" FROM bronze GROUP BY year',
     "file_widths": f"WITH {BRONZE} SELECT 27 AS columns, count(DISTINCT year) AS files FROM bronze",
-    "layer_sizes": """
-        SELECT layer, has_files, has_bytes, larger_than_parquet FROM (VALUES
-          ('bronze_institution_csv', true, true, true), ('same_columns_as_csv', true, true, NULL),
-          ('silver_institution_parquet', true, true, NULL), ('silver_program_parquet', true, true, NULL),
-          ('gold_parquet', true, true, NULL)) AS v(layer, has_files, has_bytes, larger_than_parquet)
-         WHERE (SELECT count(*) FROM orders) > 0""",
+    "layer_sizes": f"""WITH {FACT}, {PROGRAM}, years AS (
+            SELECT count(*) AS "rows", count(DISTINCT year) AS partitions FROM bronze
+        ), cohorts AS (SELECT count(*) AS "rows", count(DISTINCT cohort) AS partitions FROM program_silver)
+        SELECT 'bronze_institution_csv' AS layer, "rows", partitions, true AS a_file_per_partition, true AS larger_than_parquet FROM years
+        UNION ALL SELECT 'silver_institution_parquet', "rows", partitions, true, NULL FROM years
+        UNION ALL SELECT 'same_columns_as_csv', count(*), NULL, true, NULL FROM silver
+        UNION ALL SELECT 'silver_program_parquet', "rows", partitions, true, NULL FROM cohorts
+        UNION ALL SELECT 'gold_fact_parquet', count(*), NULL, true, NULL FROM fact""",
+    "silver_view": f"""WITH {SILVER} SELECT year, control, count(*) AS institutions, CAST(sum(ugds) AS BIGINT) AS undergrads
+        FROM silver GROUP BY year, control""",
+    "audit_csv": f"""WITH {AUDIT} SELECT "column", CAST(sum("rows") AS BIGINT) AS "rows",
+        CAST(sum(privacy_suppressed) AS BIGINT) AS privacy_suppressed, CAST(sum("null") AS BIGINT) AS missing
+        FROM audit GROUP BY "column" ORDER BY 3 DESC, 4 DESC, 1""",
+    "manifest_refresh": f"""WITH {SILVER} SELECT year, count(*) AS "rows", count(control) AS with_control,
+        CAST(sum(ugds) AS BIGINT) AS undergrads, CASE WHEN year IN (1999, 2001) THEN 'rebuilt' ELSE 'kept' END AS state
+        FROM silver WHERE year <> 1998 AND NOT (year = 1999 AND coalesce(control = 1, false)) GROUP BY year""",
     "partitioned_scan": f"WITH {SILVER} SELECT year, unitid, control, ugds FROM silver WHERE year = 1998",
     "program_lake": f"""WITH {PROGRAM} SELECT cohort, count(*) AS "rows", CAST(sum(earn_mdn_1yr) AS BIGINT) AS earnings_sum
         FROM program_silver GROUP BY cohort""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from pyspark.sql.types import (
 
 from ..schemas import NULL_TOKENS
 
-# Letters of number literals that no decimal number in a file has.
-TYPE_LETTERS = "[dDfFxXpP]"
+# Letters of number literals that no decimal number in a file has: types and hexadecimal marks.
+TYPE_LETTERS = "dDfFxX"
 SMALL_INTEGERS = (ByteType, ShortType, IntegerType)
 
 
@@ -35,8 +36,10 @@ def blank_tokens(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 
 def _number(text: Column) -> Column:
     """Text to double. Spark would also take a type letter at the end ("5f", "12.5d") or hexadecimal digits with a
-    binary exponent ("0x1p3"); file text like that is no number. Such text has a letter other than e."""
-    return F.when(~text.rlike(TYPE_LETTERS), text).try_cast("double")
+    binary exponent ("0x1p3"); file text like that is no number. Such text has a letter other than e. Searches for
+    single letters cost less than a regular expression."""
+    lettered = reduce(lambda a, b: a | b, [text.contains(letter) for letter in TYPE_LETTERS])
+    return F.when(~lettered, text).try_cast("double")
 
 
 def _infinity(text: Column) -> Column:

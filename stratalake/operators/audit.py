@@ -27,28 +27,35 @@ def null_token_audit(
 
     ok, is_suppressed, is_missing, is_failed = range(4)
 
-    def state(name: str, dtype: DataType) -> Column:
-        text = F.col(name)
-        found = F.when(text.isNull() | is_token(text, missing), is_missing).when(
-            is_token(text, suppressed), is_suppressed
-        )
-        if not isinstance(dtype, StringType):
-            found = found.when(clean_cast(text, dtype, tokens=()).isNull(), is_failed)
-        return found.otherwise(ok)
+    def state(dtype: DataType):
+        def of(text: Column) -> Column:
+            found = F.when(text.isNull() | is_token(text, missing), is_missing).when(
+                is_token(text, suppressed), is_suppressed
+            )
+            if not isinstance(dtype, StringType):
+                found = found.when(clean_cast(text, dtype, tokens=()).isNull(), is_failed)
+            return found.otherwise(ok).cast("tinyint")
+
+        return of
 
-    # One small code per value and a narrow count of codes: 4 counters for each of many columns in one wide
-    # aggregate would outgrow what the JVM compiles.
-    states = F.array(*[state(name, dtype) for name, dtype in columns.items()])
+    by_type: dict[DataType, list[str]] = {}
+    for name, dtype in columns.items():
+        by_type.setdefault(dtype, []).append(name)
+    # All states of a row are its signature. Rows are counted by signature first, so that only the distinct signatures
+    # are taken apart by column. Columns of one type share one expression: an expression per column would compile to
+    # a method longer than the JVM translates to machine code.
+    states = F.concat(*[F.transform(F.array(*names), state(dtype)) for dtype, names in by_type.items()])
+    signatures = bronze.select(key, states.alias("states")).groupBy(key, "states").agg(F.count(F.lit(1)).alias("n"))
     counts = (
-        bronze.select(key, F.posexplode(states).alias("place", "state"))
+        signatures.select(key, "n", F.posexplode("states").alias("place", "state"))
         .groupBy(key, "place", "state")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
     def counted(code: int) -> Column:
         return F.coalesce(F.sum(F.when(F.col("state") == code, F.col("n"))), F.lit(0))
 
-    names = F.array(*[F.lit(name) for name in columns])
+    names = F.array(*[F.lit(name) for names in by_type.values() for name in names])
     return (
         counts.groupBy(key, "place")
         .agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,16 +34,28 @@ def peak(df: DataFrame, at: str, measure: str) -> DataFrame:
     )
 
 
+# Groups whose ends are found apart before the last ranking, so that no task ranks all rows.
+END_GROUPS = 64
+
+
 def top_bottom(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
     """First and last ``n`` rows of the ranking by descending ``by``, with ``place`` top or bottom.
 
-    As with the head and tail of a list, a row stands in both ends when there are fewer than ``2 * n`` rows.
+    As with the head and tail of a list, a row stands in both ends when there are fewer than ``2 * n`` rows. The input
+    is planned and read once: both ends of each of a number of groups, then both ends of what is left.
     """
-    top = df.orderBy(F.col(by).desc_nulls_last(), F.asc(tie)).limit(n)
-    bottom = df.orderBy(F.col(by).asc_nulls_first(), F.desc(tie)).limit(n)
-    return top.withColumn("place", F.lit("top")).unionByName(
-        bottom.withColumn("place", F.lit("bottom"))
+    order = {"__top": [F.col(by).desc_nulls_last(), F.asc(tie)], "__bottom": [F.col(by).asc_nulls_first(), F.desc(tie)]}
+
+    def ends(rows: DataFrame, group) -> DataFrame:
+        places = {name: F.row_number().over(Window.partitionBy(group).orderBy(*columns)) for name, columns in order.items()}
+        return rows.withColumns(places).where((F.col("__top") <= n) | (F.col("__bottom") <= n))
+
+    groups = df.withColumn("__group", F.pmod(F.xxhash64(by, tie), F.lit(END_GROUPS)))
+    both = ends(ends(groups, F.col("__group")), F.lit(0))
+    places = F.filter(
+        F.array(F.when(F.col("__top") <= n, "top"), F.when(F.col("__bottom") <= n, "bottom")), lambda place: place.isNotNull()
     )
+    return both.withColumn("place", F.explode(places)).drop("__group", *order)
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -26,9 +26,11 @@ from ..schemas import (
 )
 from ..session import build_session
 from ..sources import (
+    current_version,
     file_widths,
     layer_sizes,
     list_files,
+    publish,
     read_bronze,
     read_code_list,
     read_csv_typed,
@@ -102,15 +104,10 @@ def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> No
         f"{results}/suppression_by_year",
         single=True,
     )
-    write_partitioned(
-        to_silver(institutions, INSTITUTION_COLUMNS, "year"), f"{lake_folder}/institution_year", "year"
-    )
-    write_partitioned(
-        to_silver(program_bronze(spark, bronze), PROGRAM_COLUMNS, "cohort"),
-        f"{lake_folder}/program",
-        "cohort",
-        compact=True,
-    )
+    silver = to_silver(institutions, INSTITUTION_COLUMNS, "year")
+    publish(spark, f"{lake_folder}/institution_year", lambda version: write_partitioned(silver, version, "year"))
+    programs = to_silver(program_bronze(spark, bronze), PROGRAM_COLUMNS, "cohort")
+    publish(spark, f"{lake_folder}/program", lambda version: write_partitioned(programs, version, "cohort", compact=True))
     codes = read_code_list(spark, f"{bronze}/{CODE_LIST}")
     family_codes(codes).write.mode("overwrite").parquet(f"{lake_folder}/cip_family")
     same_columns = shared_folder(spark, "same-columns-csv")
@@ -120,9 +117,9 @@ def lake(spark: SparkSession, bronze: str, lake_folder: str, results: str) -> No
         {
             "bronze_institution_csv": (bronze, INSTITUTION_FILES),
             "same_columns_as_csv": (same_columns, "*.csv"),
-            "silver_institution_parquet": (f"{lake_folder}/institution_year", "*.parquet"),
+            "silver_institution_parquet": (current_version(spark, f"{lake_folder}/institution_year"), "*.parquet"),
             "bronze_program_csv": (bronze, PROGRAM_FILES),
-            "silver_program_parquet": (f"{lake_folder}/program", "*.parquet"),
+            "silver_program_parquet": (current_version(spark, f"{lake_folder}/program"), "*.parquet"),
         },
     )
     megabytes = sizes.select("layer", "files", F.round(F.col("bytes") / 1e6, 1).alias("mb"))

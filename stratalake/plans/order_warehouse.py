@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import family_codes, null_token_audit
 from ..schemas import INSTITUTION_COLUMNS, PROGRAM_COLUMNS
 from ..sources import (
+    publish,
     read_bronze,
     read_lake,
     read_tables,
@@ -138,9 +139,12 @@ def store(spark: SparkSession, folder: str, layers: StoredLayers) -> None:
     )
     write_csv(code_list_text(spark, folder), f"{layers.bronze}/codes")
     institutions = to_silver(layers.read_text(spark), INSTITUTION_COLUMNS, "year")
-    write_partitioned(institutions, f"{layers.silver}/institution_year", "year")
-    write_partitioned(
-        silver_programs(spark, folder), f"{layers.silver}/program", "cohort", compact=True
+    publish(
+        spark, f"{layers.silver}/institution_year", lambda version: write_partitioned(institutions, version, "year")
+    )
+    programs = silver_programs(spark, folder)
+    publish(
+        spark, f"{layers.silver}/program", lambda version: write_partitioned(programs, version, "cohort", compact=True)
     )
     families(spark, folder).write.mode("overwrite").parquet(f"{layers.silver}/cip_family")
     tables = gold.build(

@@ -17,14 +17,17 @@ from ..operators import (
     layers_agree,
     year_dim,
 )
-from ..schemas import INSTITUTION_COLUMNS
+from ..schemas import AUDIT_SCHEMA, INSTITUTION_COLUMNS
 from ..sources import (
+    current_version,
     file_widths,
+    layer_contents,
     layer_sizes,
     remove_folder,
     read_bronze,
     read_code_list,
     read_csv_typed,
+    read_lake,
     row_counts,
     save_catalog_tables,
     shared_folder,
@@ -33,7 +36,7 @@ from ..sources import (
     write_partitioned,
 )
 from ..sources.order_files import institution_text
-from ..streaming import datasets, refresh_years, stream_refresh
+from ..streaming import datasets, refresh_changed, refresh_years, stream_refresh
 from . import charts, dq, gold, marts
 from . import order_warehouse as ow
 
@@ -82,33 +85,75 @@ def file_width_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def layer_bytes(spark: SparkSession, folder: str) -> DataFrame:
-    """What the tables determine about the layers' sizes: whether files and bytes exist, and whether the files as
-    delivered take more bytes than the same institutions as Parquet."""
+    """What the tables determine about the stored layers: rows and partition folders of each, whether it has a file per
+    folder at least, and whether the files as delivered take more bytes than the same institutions as Parquet."""
     layers = ow.stored_layers(spark, folder)
     same_columns = shared_folder(spark, "same-columns")
     write_csv(layers.read_institutions(spark), same_columns)
-    sizes = layer_sizes(
-        spark,
-        {
-            "bronze_institution_csv": (layers.institution_files(), "*.csv"),
-            "same_columns_as_csv": (same_columns, "*.csv"),
-            "silver_institution_parquet": (f"{layers.silver}/institution_year", "*.parquet"),
-            "silver_program_parquet": (f"{layers.silver}/program", "*.parquet"),
-            "gold_parquet": (layers.gold, "*.parquet"),
-        },
-    )
+    places = {
+        "bronze_institution_csv": (layers.institution_files(), "*.csv"),
+        "same_columns_as_csv": (same_columns, "*.csv"),
+        "silver_institution_parquet": (current_version(spark, f"{layers.silver}/institution_year"), "*.parquet"),
+        "silver_program_parquet": (current_version(spark, f"{layers.silver}/program"), "*.parquet"),
+        "gold_fact_parquet": (f"{current_version(spark, layers.gold)}/fact_institution_year", "*.parquet"),
+    }
+    sizes = layer_sizes(spark, places).join(layer_contents(spark, places), "layer")
     rows = sizes.collect()  # one per layer, taken before the copy goes
     remove_folder(spark, same_columns)
     silver = next(row["bytes"] for row in rows if row["layer"] == "silver_institution_parquet")
     as_text = F.col("layer") == "bronze_institution_csv"
+    partitioned = ~F.col("layer").isin("same_columns_as_csv", "gold_fact_parquet")
     return spark.createDataFrame(rows, sizes.schema).select(
         "layer",
-        (F.col("files") > 0).alias("has_files"),
-        (F.col("bytes") > 0).alias("has_bytes"),
+        "rows",
+        F.when(partitioned, F.col("partitions")).alias("partitions"),
+        (F.col("files") >= F.col("partitions")).alias("a_file_per_partition"),
         F.when(as_text, F.col("bytes") > silver).alias("larger_than_parquet"),
     )
 
 
+def silver_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver read in SQL through the view that the lake registers."""
+    layers = ow.stored_layers(spark, folder)
+    view = f"silver_{layers.root.rsplit('-', 1)[-1]}"
+    read_lake(spark, current_version(spark, f"{layers.silver}/institution_year"), view)
+    return spark.sql(
+        f"SELECT year, control, count(*) AS institutions, sum(ugds) AS undergrads FROM {view} GROUP BY year, control"
+    ).withColumn("year", F.col("year").cast("int"))
+
+
+def audit_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The token audit written as CSV and read back with its declared types, then summed."""
+    path = shared_folder(spark, "audit")
+    write_csv(ow.audit(spark, folder), path, single=True)
+    return audit_totals(read_csv_typed(spark, path, AUDIT_SCHEMA))
+
+
+def manifest_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Yearly files of which one is changed, one removed and one added after silver was built: a second run finds the
+    three years by itself. 1999 comes back without the rows of sector 1, 1998 is gone, 2001 is new."""
+    layers = ow.stored_layers(spark, folder)
+    root = shared_folder(spark, "watched")
+    text = layers.read_text(spark)
+
+    def deliver(rows: DataFrame) -> None:
+        write = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        write.option("header", True).option("escape", '"').partitionBy("year").csv(f"{root}/files")
+
+    def refresh() -> dict[str, list[str]]:
+        return refresh_changed(
+            spark, f"{root}/files", INSTITUTION_COLUMNS, "year", ow.YEAR_IN_PATH, f"{root}/silver", f"{root}/manifest", "*.csv"
+        )
+
+    deliver(text.where("year < 2001"))
+    refresh()
+    deliver(text.where("year = 1999 AND NOT CONTROL <=> '1' OR year = 2001"))
+    remove_folder(spark, f"{root}/files/year=1998")
+    done = refresh()
+    said = F.when(F.col("year").cast("string").isin(*done["rebuilt"]), "rebuilt").otherwise("kept")
+    return _by_year(spark.read.parquet(f"{root}/silver")).withColumn("state", said)
+
+
 def partitioned_scan(spark: SparkSession, folder: str) -> DataFrame:
     silver = ow.stored_layers(spark, folder).read_institutions(spark)
     return silver.where(F.col("year") == 1998).select("year", "unitid", "control", "ugds")
@@ -441,6 +486,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_key": file_key,
     "file_widths": file_width_counts,
     "layer_sizes": layer_bytes,
+    "silver_view": silver_view,
+    "audit_csv": audit_csv,
+    "manifest_refresh": manifest_refresh,
     "partitioned_scan": partitioned_scan,
     "program_lake": program_lake,
     "code_list": code_list,

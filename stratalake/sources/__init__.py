@@ -1,13 +1,17 @@
 from .bronze import (
     csv_reader,
     file_widths,
+    first_lines,
     header_of,
+    layer_contents,
     layer_sizes,
     list_files,
     read_bronze,
     read_code_list,
 )
 from .lake import (
+    current_version,
+    publish,
     read_csv_typed,
     read_lake,
     read_tables,
@@ -23,10 +27,14 @@ from .lake import (
 
 __all__ = [
     "csv_reader",
+    "current_version",
     "file_widths",
+    "first_lines",
     "header_of",
+    "layer_contents",
     "layer_sizes",
     "list_files",
+    "publish",
     "read_bronze",
     "read_code_list",
     "read_csv_typed",

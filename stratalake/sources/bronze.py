@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..schemas import text_schema
 
-# First lines read at the same time; each is a one-task job.
-HEADER_READERS = 8
-
 
 def csv_reader(spark: SparkSession, multi_line: bool = False):
     """Header row, text only, ``""`` as the escaped quote and backslash as plain text.
@@ -35,24 +34,61 @@ def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> tuple
     return tuple(csv_reader(spark, multi_line).csv(path).columns)
 
 
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task's input. The task ends there, whatever is left to read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str | None]:
+    """The first line of each of ``paths``, of a folder that of its first file; none of empty files and patterns.
+
+    One job reads all files: a task per file, which stops after its first rows.
+    """
+    whole = str(2**45)  # larger than any file, and its sum over all files still fits a long
+    settings = {"spark.sql.files.maxPartitionBytes": whole, "spark.sql.files.openCostInBytes": whole}
+    before = {name: spark.conf.get(name) for name in settings}
+    text = spark.read.option("recursiveFileLookup", True).text(list(paths))
+    text = text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rows = text.mapInArrow(_first_rows, "file string, line string").collect()  # a line per file
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    found: dict[str, str | None] = dict.fromkeys(paths)
+    datasets = {_place(path): path for path in paths}
+    for file, line in sorted(rows, reverse=True):
+        place = _place(unquote(file))  # Spark writes the paths of files in their encoded form
+        while place and place not in datasets:
+            place = place.rpartition("/")[0]
+        if place:
+            found[datasets[place]] = line
+    return found
+
+
+def _place(path: str) -> str:
+    """A path without its scheme and closing slash."""
+    return re.sub("^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/", path).rstrip("/")
+
+
 def layouts_of(
     spark: SparkSession, paths: Sequence[str], multi_line: bool = False
 ) -> dict[tuple[str, ...], list[str]]:
     """Datasets grouped by identical header.
 
-    Comparing first lines reads one line per dataset; names are parsed once per distinct line.
+    One job reads the first lines of all datasets; names are parsed once per distinct line. A header that may itself
+    span lines, or that of a pattern of paths, is parsed per dataset.
     """
-    if multi_line:
-        # A header may itself span lines.
-        first_lines = paths
-    else:
-        with ThreadPoolExecutor(HEADER_READERS) as pool:
-            first_lines = list(pool.map(lambda path: spark.read.text(path).first(), paths))
-    by_line: dict[object, list[str]] = {}
-    for line, path in zip(first_lines, paths):
-        by_line.setdefault(line, []).append(path)
+    lines = dict.fromkeys(paths) if multi_line else first_lines(spark, paths)
+    groups: dict[tuple, list[str]] = {}
+    for path, line in lines.items():
+        groups.setdefault((line, path if line is None else None), []).append(path)
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for members in by_line.values():
+    for members in groups.values():
         layouts.setdefault(header_of(spark, members[0], multi_line), []).extend(members)
     return layouts
 
@@ -121,6 +157,28 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
+def layer_contents(spark: SparkSession, layers: dict[str, tuple[str, str]]) -> DataFrame:
+    """``(layer, rows, partitions)`` per layer, given ``layer -> (folder, file name glob)``: data rows of its files
+    (of Parquet files as their footers say) and distinct folders that hold them."""
+    counted = []
+    for layer, (folder, glob) in layers.items():
+        named = F.lit(layer).alias("layer")
+        text = glob.endswith(".csv")
+        reader = csv_reader(spark) if text else spark.read
+        # No column is read, so a name will do for the schema.
+        files = reader.schema("any string").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        rows = files.csv(folder) if text else files.parquet(folder)
+        folders = list_files(spark, folder, glob).select(F.regexp_extract("path", "^(.*)/", 1).alias("folder"))
+        counted.append(
+            rows.agg(F.count(F.lit(1)).alias("rows")).select(named, "rows", F.lit(0).cast("long").alias("partitions"))
+        )
+        counted.append(
+            folders.agg(F.countDistinct("folder").alias("partitions")).select(named, F.lit(0).cast("long").alias("rows"), "partitions")
+        )
+    every = reduce(DataFrame.unionByName, counted)
+    return every.groupBy("layer").agg(F.sum("rows").alias("rows"), F.sum("partitions").alias("partitions"))
+
+
 def layer_sizes(spark: SparkSession, layers: dict[str, tuple[str, str]]) -> DataFrame:
     """``(layer, files, bytes)`` per layer, given ``layer -> (folder, file name glob)``."""
     listed = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,56 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+# The file in a published folder that names its current version, and how many versions are kept for readers.
+POINTER = "_current"
+KEPT_VERSIONS = 2
+
+
+def current_version(spark: SparkSession, folder: str) -> str:
+    """The folder that holds the current version of ``folder``: itself if nothing was published there."""
+    jvm = spark.sparkContext._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")
+    files = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(pointer):
+        return folder
+    stream = files.open(pointer)
+    try:
+        return f"{folder}/{jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8')}"
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, folder: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a new version of ``folder``, then make it the current one by replacing one small file.
+
+    Until then, and for good if ``write`` fails, readers get the version before, whose files stay: the last
+    ``KEPT_VERSIONS`` are kept, older ones removed. The replacement is one rename of the file system.
+    """
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(settings)
+    before = current_version(spark, folder)
+    name = f"version-{uuid.uuid4().hex}"
+    try:
+        write(f"{folder}/{name}")
+    except BaseException:
+        files.delete(path(f"{folder}/{name}"), True)
+        raise
+    written = files.create(path(f"{folder}/{POINTER}-{name}"))
+    written.write(bytearray(name.encode()))
+    written.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), settings)
+    context.rename(path(f"{folder}/{POINTER}-{name}"), path(f"{folder}/{POINTER}"), overwrite)
+    spark.catalog.refreshByPath(folder)
+    spared = {name, before.rsplit("/", 1)[-1]}
+    others = [s for s in files.listStatus(path(folder)) if s.getPath().getName().startswith("version-")]
+    others = sorted((s for s in others if s.getPath().getName() not in spared), key=lambda s: -s.getModificationTime())
+    for old in others[max(0, KEPT_VERSIONS - len(spared)) :]:
+        files.delete(old.getPath(), True)
+
+
 def write_partitioned(
     df: DataFrame, path: str, key: str, incremental: bool = False, compact: bool = False
 ) -> None:
@@ -54,8 +105,8 @@ def write_partitioned(
 
 
 def read_lake(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
-    """Parquet folder, partition keys included; optionally also registered as a view."""
-    df = spark.read.parquet(path)
+    """Parquet folder (its current version, if it is published), partition keys included; optionally also a view."""
+    df = spark.read.parquet(current_version(spark, path))
     if view is not None:
         df.createOrReplaceTempView(view)
     return df
@@ -77,13 +128,19 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """Full rebuild of every table as a Parquet folder."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    """Full rebuild of every table as a Parquet folder, published together: all of them or none."""
+    spark = next(iter(tables.values())).sparkSession
+
+    def write(version: str) -> None:
+        for name, df in tables.items():
+            df.write.parquet(f"{version}/{name}")
+
+    publish(spark, folder, write)
 
 
 def read_tables(spark: SparkSession, names, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    version = current_version(spark, folder)
+    return {name: spark.read.parquet(f"{version}/{name}") for name in names}
 
 
 def save_catalog_tables(

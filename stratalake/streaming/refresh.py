@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..plans.silver import to_silver
-from ..sources import list_files, read_bronze, write_partitioned
+from ..sources import (
+    current_version,
+    list_files,
+    publish,
+    read_bronze,
+    remove_folder,
+    shared_folder,
+    write_partitioned,
+)
 
 
 def datasets(spark: SparkSession, folder: str, key_pattern: str, glob: str | None = None) -> DataFrame:
@@ -53,6 +61,69 @@ def refresh_years(
     write_partitioned(silver, silver_path, key, incremental=True, compact=True)
 
 
+MANIFEST = "path string, length long, modified timestamp, key string"
+
+
+def manifest_of(spark: SparkSession, folder: str, key_pattern: str, glob: str | None = None) -> DataFrame:
+    """``(path, length, modified, key)`` of the files under ``folder`` that carry a key; contents are not read."""
+    return (
+        list_files(spark, folder, glob)
+        .select("path", "length", F.col("modificationTime").alias("modified"), F.regexp_extract("path", key_pattern, 1).alias("key"))
+        .where(F.col("key") != "")
+    )
+
+
+def manifest_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """``(path, key, change)``: files that are new, changed in length or time, or deleted since ``before``."""
+    old = before.select("path", F.col("length").alias("old_length"), F.col("modified").alias("old_modified"), F.col("key").alias("old_key"))
+    same = (F.col("length") == F.col("old_length")) & (F.col("modified") == F.col("old_modified"))
+    change = (
+        F.when(F.col("old_key").isNull(), "new").when(F.col("key").isNull(), "deleted").when(~same, "changed")
+    )
+    found = now.join(old, "path", "full").select("path", F.coalesce("key", "old_key").alias("key"), change.alias("change"))
+    return found.where(F.col("change").isNotNull())
+
+
+def refresh_changed(
+    spark: SparkSession,
+    folder: str,
+    columns: Mapping[str, DataType],
+    key: str,
+    key_pattern: str,
+    silver_path: str,
+    manifest_path: str,
+    glob: str | None = None,
+) -> dict[str, list[str]]:
+    """Bring silver up to date with the files as they are, and say which keys were rebuilt and which removed.
+
+    The files are compared with the manifest of the last run (none: all are new). Years with a new, changed or deleted
+    file are rebuilt from the files they have now; years without any file lose their partition. The manifest is
+    published last, so a run that died is repeated in full and gives the same rows.
+    """
+    now = manifest_of(spark, folder, key_pattern, glob)
+    # The listing is written first: what is compared and what is remembered must be the same files.
+    listed = shared_folder(spark, "manifest")
+    now.write.parquet(listed)
+    now = spark.read.schema(MANIFEST).parquet(listed)
+    known = current_version(spark, manifest_path)
+    before = spark.read.schema(MANIFEST).parquet(known) if known != manifest_path else spark.createDataFrame([], MANIFEST)
+    # One value per year or cohort: bounded by the calendar.
+    changed = [row["key"] for row in manifest_changes(now, before).select("key").distinct().collect()]
+    left = {row["key"] for row in now.select("key").distinct().collect()}
+    rebuilt, removed = sorted(k for k in changed if k in left), sorted(k for k in changed if k not in left)
+    target = current_version(spark, silver_path)
+    if rebuilt:
+        refresh_years(spark, folder, columns, key, key_pattern, target, rebuilt, glob)
+    for gone in removed:
+        remove_folder(spark, f"{target}/{key}={gone}")
+    if changed:
+        spark.catalog.refreshByPath(target)
+    if changed or known == manifest_path:
+        publish(spark, manifest_path, lambda version: now.coalesce(1).write.parquet(version))
+    remove_folder(spark, listed)
+    return {"rebuilt": rebuilt, "removed": removed}
+
+
 def stream_refresh(
     spark: SparkSession,
     folder: str,

@@ -1,6 +1,7 @@
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
@@ -90,6 +91,52 @@ def test_a_tight_band_among_outliers_is_cut_apart(spark):
     assert got["m"] == statistics.median([1_000_000 + i / 400 for i in range(40_000)] + [0.0, 1e12])
 
 
+def test_a_bracket_that_misses_the_middle_fails_loudly(spark):
+    df = spark.range(40_000).selectExpr("'g' AS g", "cast(id AS double) AS x")
+    with pytest.raises(Exception, match="outside its bracket"):
+        grouped_medians(df, ["g"], {"m": F.col("x")}, spread=-0.1).collect()
+
+
+def test_medians_read_the_input_twice_and_sort_little(spark):
+    df = spark.range(10).selectExpr("id % 2 AS g", "cast(id AS double) AS x")
+    found = grouped_medians(df, ["g"], {"m": F.col("x"), "n": -F.col("x")}, {"rows": F.lit(1)}, few_groups=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 2 and plan.count("Window ") == 1
+
+
+def test_medians_with_nan_and_without_keys(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(v,) for v in (nan, 1.0, nan, 4.0, nan, None)], "x double")
+    assert str(grouped_medians(df, [], {"m": F.col("x")}).first()["m"]) == "nan"
+    few = df.union(spark.createDataFrame([(v,) for v in (2.0, 3.0, 5.0)], "x double"))
+    assert grouped_medians(few, [], {"m": F.col("x")}, {"n": F.col("x")}).first()[:] == (8, 4.5)
+
+
+def test_top_and_bottom_plan_their_input_once(spark):
+    df = spark.range(500).selectExpr("id AS k", "nullif(id * 37 % 101, 5) AS v").repartition(5)
+    rows = [(r["k"], r["v"]) for r in df.collect()]
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    found = top_bottom(df, "v", 7, "k")
+    assert found.columns == ["k", "v", "place"]
+    got = {(r["place"], r["k"], r["v"]) for r in found.collect()}
+    assert got == {("top", *r) for r in order[:7]} | {("bottom", *r) for r in order[-7:]}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
+def test_audit_counts_signatures_before_columns(spark):
+    columns = {"a": IntegerType(), "b": StringType(), "c": IntegerType()}
+    rows = [("1", "PS", "x"), ("1", "PS", "x"), (None, "NA", "2.5"), ("PrivacySuppressed", "v", "NULL")] * 50
+    df = spark.createDataFrame(rows, "a string, b string, c string").withColumn("year", F.lit(7))
+    found = null_token_audit(df, columns, "year")
+    assert {tuple(row) for row in found.collect()} == {
+        (7, "a", 200, 50, 50, 0),
+        (7, "b", 200, 100, 50, 0),
+        (7, "c", 200, 0, 50, 100),
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.rindex("Aggregate")  # plans read from the last step to the first
+
+
 def test_median_of_ratio_skips_zero_denominators(spark):
     from stratalake.functions import ratio
 

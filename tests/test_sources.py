@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import family_codes
 from stratalake.schemas import COHORT_IN_NAME, YEAR_IN_NAME
+from stratalake.sources.bronze import layouts_of
 from stratalake.sources import (
     file_widths,
+    first_lines,
+    layer_contents,
     layer_sizes,
     read_bronze,
     read_code_list,
@@ -66,6 +69,45 @@ def test_files_of_different_layouts_join_by_name(spark, tmp_path):
     assert sorted(row["columns"] for row in widths.collect()) == [2, 3, 3]
 
 
+def test_headers_take_the_same_jobs_for_any_number_of_files(spark, tmp_path):
+    layouts = ["UNITID,UGDS,EXTRA", "UGDS,UNITID"]
+
+    def jobs(count):
+        folder = f"{tmp_path}/of {count}+x"
+        paths = [put(f"{folder}/MERGED{1000 + i}_PP.csv", f"{layouts[i % 2]}\n{i},{i + 1}\n") for i in range(count)]
+        context = spark.sparkContext
+        context.setJobGroup(folder, "headers")
+        found = layouts_of(spark, paths)
+        number = len(context.statusTracker().getJobIdsForGroup(folder))
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert {header: len(members) for header, members in found.items()} == {
+            ("UNITID", "UGDS", "EXTRA"): (count + 1) // 2,
+            ("UGDS", "UNITID"): count // 2,
+        }
+        assert sorted(path for members in found.values() for path in members) == sorted(paths)
+        return number
+
+    # From 33 paths on Spark lists files in a job of its own.
+    assert jobs(40) == jobs(200) == jobs(5) + 1 == 4
+
+
+def test_first_lines_of_folders_long_files_and_empty_files(spark, tmp_path):
+    put(f"{tmp_path}/year=1999/part-1.csv", "b,a\n")
+    put(f"{tmp_path}/year=1999/part-0.csv", "a,b\n" + "x" * 200 + "\n")
+    long = put(f"{tmp_path}/long.csv", "h\n" + "1\n" * 400_000)
+    empty = put(f"{tmp_path}/empty.csv", "")
+    found = first_lines(spark, [f"file:{tmp_path}/year=1999/", long, empty])
+    assert found == {f"file:{tmp_path}/year=1999/": "a,b", long: "h", empty: None}
+
+
+def test_contents_count_rows_and_folders(spark, tmp_path):
+    put(f"{tmp_path}/t/year=1/x.csv", "a,b\n1,2\n3\n")
+    put(f"{tmp_path}/t/year=2/y.csv", "b\n7\n")
+    spark.range(40).repartition(3).write.parquet(f"{tmp_path}/p")
+    got = layer_contents(spark, {"text": (f"{tmp_path}/t", "*.csv"), "parquet": (f"{tmp_path}/p", "*.parquet")})
+    assert {tuple(row) for row in got.collect()} == {("text", 3, 2), ("parquet", 40, 1)}
+
+
 def test_only_wanted_columns_are_read(spark, tmp_path):
     header = ",".join(f"C{i}" for i in range(300))
     line = ",".join(str(i) for i in range(300))
