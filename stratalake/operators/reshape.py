@@ -55,7 +55,8 @@ def top_bottom(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
     places = F.filter(
         F.array(F.when(F.col("__top") <= n, "top"), F.when(F.col("__bottom") <= n, "bottom")), lambda place: place.isNotNull()
     )
-    return both.withColumn("place", F.explode(places)).drop("__group", *order)
+    rank = F.when(F.col("place") == "top", F.col("__top")).otherwise(F.col("__bottom"))
+    return both.withColumn("place", F.explode(places)).orderBy(F.desc("place"), rank).drop("__group", *order)
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
