@@ -8,6 +8,7 @@ histogram, whose size the window bounds. Spark ranks the pieces of each length a
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,23 +36,30 @@ RANKED_ROWS = 100_000
 # Words whose ids a worker remembers, and the longest such word in bytes.
 REMEMBERED_WORDS = 1_200_000
 LONGEST_REMEMBERED = 64
-PROBES = ("the", "thandion", "a", "xqzvk", "unbelievably", "s", "l", "don", "éàü", "straße", "ñandú", "œuvre")
+PROBES = (
+    "the", "thandion", "a", "xqzvk", "unbelievably", "s", "l", "don", "éàü", "straße", "ñandú", "œuvre",
+    "The", "ÉTÉ", "wOrd.", "a,b", "end###", "x$$$,", "l&r;", "12", "a1b22", "(017)", "x.y_z-34@m7.example.com", "“q”", "5²", "½ª", "--", "ß!?",
+)
+# Letters, single digits, and all else: what the tokenizer takes apart before its model sees it.
+RUNS = re.compile(r"[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[\d\u00b2\u00b3\u00b9\u00bc-\u00be]|(?:[^\w\s]|_)+")
+# Characters that may join or change others: contractions, special tokens, a capital whose small form is two, controls.
+APART = re.compile("['<İ\x00-\x1f\x7f-\xa0]")
+MARKS = frozenset([b".", b",", b";", b":", b"!", b"?"])
 LAST_PLAIN = "ſ"  # letters up to here are composed and have one lower case
 # Byte-level models spell a byte as its own printable character, others as characters from 256 on, in order.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: chr(b) for b in PRINTABLE} | {
     b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))
 }
-MARKS = (".", ",", ";", ":", "!", "?")
-MARK_BYTES = frozenset(mark.encode() for mark in MARKS)
 
 
 class WordIds(dict):
     """Ids of a word as little-endian 32-bit integers, remembered.
 
-    Valid for tokenizers that never join characters across ASCII white space and drop it, as the default one. Words
-    that only differ in what the tokenizer ignores share their ids: at loading, probes show whether it lower-cases,
-    whether it parts a final mark from a word, and whether its model alone tokenizes a plain word.
+    Valid for tokenizers that never join characters across ASCII white space and drop it, as the default one. At
+    loading, probes show whether the tokenizer lower-cases and takes plain words apart into runs of letters, digits
+    and other signs, as the default one does; then the ids of a word are those of its runs, which words share, and its
+    model alone tokenizes a run of letters. Other tokenizers and other words are tokenized as they stand.
     """
 
     def __init__(self, path: str):
@@ -59,33 +67,48 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.lowers = all(self.ids(w.title()) == self.ids(w) == self.ids(w.upper()) for w in PROBES)
-        self.parts = all(self.ids(w + mark) == self.ids(w) + self.ids(mark) for w in PROBES for mark in MARKS)
-        self.plain = all(self.model_ids(w) == self.ids(w) for w in PROBES)
+        self.parts = True
+        self.parts = all(self.in_runs(w) in (None, self.packed(self.ids(w))) for w in PROBES)
+        self.clear()
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def model_ids(self, word: str) -> list[int]:
-        spelled = "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
+        spelled = word if word.isascii() else "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
         return [token.id for token in self.tokenizer.model.tokenize(spelled)]
 
+    def in_runs(self, text: str) -> bytes | None:
+        """The ids of a plain word by its runs; nothing for other words."""
+        if max(text) > LAST_PLAIN or APART.search(text):
+            return None
+        runs = RUNS.findall(text.lower())
+        if len(runs) > 1:
+            return b"".join([self[run.encode()] for run in runs])
+        return self.packed(self.model_ids(runs[0]) if runs[0].isalpha() else self.ids(runs[0])) if runs else None
+
     def __missing__(self, word: bytes) -> bytes:
-        low = word.lower() if self.lowers and b"<" not in word else word
-        if low != word:
-            packed = self[low]
-        elif self.parts and word[-1:] in MARK_BYTES and word[-2:-1].isalnum():
-            packed = self[word[:-1]] + self[word[-1:]]
-        else:
-            text = word.decode("utf-8", "replace")
-            known = self.plain and text.isalpha() and text == text.lower() and max(text) <= LAST_PLAIN
-            ids = self.model_ids(text) if known else self.ids(text)
-            packed = struct.pack(f"<{len(ids)}I", *ids)
+        found = None
+        if self.parts:
+            # The commonest words: ASCII letters, and a mark after a letter or digit.
+            if word.isalpha():
+                low = word.lower()
+                found = self[low] if low != word else self.packed(self.model_ids(word.decode()))
+            elif word[-1:] in MARKS and word[-2:-1].isalnum():
+                found = self[word[:-1]] + self[word[-1:]]
+            else:
+                found = self.in_runs(word.decode("utf-8", "replace"))
+        if found is None:
+            found = self.packed(self.ids(word.decode("utf-8", "replace")))
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED_WORDS:
                 self.clear()
-            self[word] = packed
-        return packed
+            self[word] = found
+        return found
 
 
 @lru_cache(maxsize=2)

@@ -559,3 +559,19 @@ def test_pipeline_of_nothing_and_odd_rows(spark, tmp_path):
     found = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
     assert sorted(str(r["doc_id"]) for r in found) == ["1", "5", "None"]
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_ids_of_words_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(packing.TOKENIZER)
+    known = packing.word_ids(packing.TOKENIZER)
+    assert known.parts
+    rng = random.Random(11)
+    signs = "abzAZéÉßİſ0189²½ª_-.,;:!?'\"<>|#$%&*()@/\\^~`{}[]=+€ñÑœĳŉ̀日ٱﬁΩςı\x00\x1f\x85\xa0\xad"
+    texts = ["".join(rng.choices(signs, k=rng.randint(1, 9))) for _ in range(8000)]
+    texts += ["don't", "WE'LL.", "<|endoftext|>", "x<|startoftext|>y", "İstanbul", "ab###", "A1.B2,", "…a", "a" * 300]
+    for text in texts:
+        for word in text.encode().split():
+            ids = whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            assert known[word] == struct.pack(f"<{len(ids)}I", *ids), word
