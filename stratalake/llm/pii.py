@@ -7,6 +7,8 @@ confident patterns give spans that no fixed pattern matches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ MIN_CONFIDENCE = 0.8
 MIN_SUPPORT = 5
 ROUNDS = 3
 SPAN = "struct<kind:int,start:int,end:int>"
+# Words around a span are sought within this many code points. Long texts are worked on in chunks of code points, long
+# arrays in blocks of elements.
+REACH = 60
+CHUNK = 1024
+BLOCK = 64
 
 
 def accepted(kind: str, match: Column) -> Column:
@@ -44,25 +51,63 @@ def accepted(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def located(text: Column, pattern: str) -> Column:
     """All matches from the left, not overlapping, as an array of ``(match, start, end)`` in code points.
 
-    What lies between matches is taken by splitting at the same pattern, so positions are sums of lengths.
+    What lies between matches is taken by splitting at the same pattern, so positions are sums of lengths. They are
+    summed within blocks of matches, then over blocks, since appending to one long array copies it every time.
     """
     pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"), F.split(text, pattern, -1).alias("gap"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<match:string,start:int,end:int>>").alias("found"))
+    nothing = F.array().cast("array<struct<match:string,start:int,end:int>>")
 
     def step(acc: Column, piece: Column) -> Column:
         begin = acc["at"] + F.length(piece["gap"])
         end = begin + F.length(piece["match"])
+        here = F.struct(piece["match"].alias("match"), begin.alias("start"), end.alias("end"))
         return F.when(piece["match"].isNull(), acc).otherwise(
-            F.struct(
-                end.alias("at"),
-                F.array_append(acc["found"], F.struct(piece["match"].alias("match"), begin.alias("start"), end.alias("end"))).alias("found"),
-            )
+            F.struct(end.alias("at"), F.array_append(acc["found"], here).alias("found"))
+        )
+
+    def block(every: Column, first: Column) -> Column:
+        return F.aggregate(F.slice(every, first + 1, BLOCK), F.struct(F.lit(0).alias("at"), nothing.alias("found")), step)
+
+    def shifted(found: Column, by: Column) -> Column:
+        return F.transform(
+            found,
+            lambda m: F.struct(m["match"].alias("match"), (m["start"] + by).alias("start"), (m["end"] + by).alias("end")),
+        )
+
+    def of(every: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(every) - 1, F.lit(BLOCK)), lambda first: block(every, first))
+        return let(
+            blocks,
+            lambda parts: F.flatten(
+                F.zip_with(
+                    parts,
+                    F.aggregate(
+                        parts,
+                        F.array(F.lit(0)),
+                        lambda sums, part: F.array_append(sums, F.element_at(sums, -1) + part["at"]),
+                    ),
+                    lambda part, by: F.coalesce(shifted(part["found"], by), nothing),
+                )
+            ),
         )
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["found"])
+    return let(pieces, of)
+
+
+def chunked(text: Column) -> Column:
+    """The text in pieces of ``CHUNK`` code points, each with its first position."""
+    return F.transform(
+        F.sequence(F.lit(0), F.length(text), F.lit(CHUNK)),
+        lambda a: F.struct(a.alias("at"), F.substring(text, a + 1, F.lit(CHUNK)).alias("text")),
+    )
 
 
 def spans_of(kind: str, text: Column) -> Column:
@@ -81,33 +126,86 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[spans_of(kind, text) for kind in KINDS])
 
 
+def near(chunks: Column, start: Column, size: Column) -> Column:
+    """``size`` code points from ``start`` on, at most ``CHUNK`` of them; only two chunks are read for it."""
+    at = F.floor(start / CHUNK).cast("int")
+    both = F.concat(F.get(chunks, at)["text"], F.coalesce(F.get(chunks, at + 1)["text"], F.lit("")))
+    return F.substring(both, start - at * CHUNK + 1, size)
+
+
 def contexts(text: Column, spans: Column) -> Column:
     """For ``(kind, start, end)`` spans: the span's text and its lexical patterns, lower-cased.
 
     A pattern is the two words before, or the word before and the word after. Where such words are missing, so is the
-    pattern. Words are sought within 60 code points.
+    pattern. Words that do not end within ``REACH`` code points make none, rather than one of a fragment.
     """
 
-    def around(s: Column) -> Column:
-        first = F.greatest(s["start"] - 60, F.lit(0))
-        before = F.lower(F.substring(text, first + 1, s["start"] - first))
-        after = F.lower(F.substring(text, s["end"] + 1, F.lit(60)))
-        two = F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1)
-        one = F.regexp_extract(before, r"(\S+)\s*$", 1)
-        behind = F.regexp_extract(after, r"^\s*(\S+)", 1)
-        patterns = F.array(
-            F.when(two != "", F.concat(F.regexp_replace(two, r"\s+", " "), F.lit(" _"))),
-            F.when((one != "") & (behind != ""), F.concat(one, F.lit(" _ "), behind)),
+    def patterns_of(words: Column) -> Column:
+        two, one, behind = words["two"], words["one"], words["behind"]
+        return F.array_compact(
+            F.array(
+                F.when(two != "", F.concat(F.regexp_replace(two, r"\s+", " "), F.lit(" _"))),
+                F.when((one != "") & (behind != ""), F.concat(one, F.lit(" _ "), behind)),
+            )
+        )
+
+    def around(chunks: Column, length: Column, s: Column) -> Column:
+        first = F.greatest(s["start"] - REACH, F.lit(0))
+        # The ends of the text count as white space.
+        edge = F.when(first == 0, " ").otherwise("")
+        before = F.lower(F.concat(edge, near(chunks, first, s["start"] - first)))
+        last = F.when(length <= s["end"] + REACH, " ").otherwise("")
+        after = F.lower(F.concat(near(chunks, s["end"], F.lit(REACH)), last))
+        words = let(
+            before,
+            lambda words: F.struct(
+                F.regexp_extract(words, r"\s(\S+\s+\S+)\s*+$", 1).alias("two"),
+                F.regexp_extract(words, r"\s(\S+)\s*+$", 1).alias("one"),
+                F.regexp_extract(after, r"^\s*(\S+)\s", 1).alias("behind"),
+            ),
         )
+        size = s["end"] - s["start"]
+        token = F.when(size <= CHUNK, near(chunks, s["start"], size)).otherwise(F.substring(text, s["start"] + 1, size))
         return F.struct(
             s["kind"].alias("kind"),
             s["start"].alias("start"),
             s["end"].alias("end"),
-            F.lower(F.substring(text, s["start"] + 1, s["end"] - s["start"])).alias("token"),
-            F.array_compact(patterns).alias("patterns"),
+            F.lower(token).alias("token"),
+            let(words, patterns_of).alias("patterns"),
         )
 
-    return F.transform(spans, around)
+    return F.when(
+        F.size(spans) > 0,
+        let(
+            chunked(text),
+            lambda chunks: let(
+                F.length(text), lambda length: F.transform(spans, lambda s: around(chunks, length, s))
+            ),
+        ),
+    ).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int,token:string,patterns:array<string>>>"))
+
+
+def apart(tokens: Column, base: Column) -> Column:
+    """The tokens that touch no base span. Each is held against the base spans near it, found once for each stretch of
+    ``BLOCK`` tokens."""
+
+    def touch(t: Column, b: Column) -> Column:
+        return (b["start"] < t["end"]) & (t["start"] < b["end"])
+
+    def block(every: Column, bases: Column, first: Column) -> Column:
+        def free(stretch: Column) -> Column:
+            whole = F.struct(stretch[0]["start"].alias("start"), F.element_at(stretch, -1)["end"].alias("end"))
+            close = F.filter(bases, lambda b: touch(whole, b))
+            return let(close, lambda some: F.filter(stretch, lambda t: ~F.exists(some, lambda b: touch(t, b))))
+
+        return let(F.slice(every, first + 1, BLOCK), free)
+
+    def of(every: Column, bases: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.size(every) - 1, F.lit(BLOCK))
+        kept = F.flatten(F.transform(firsts, lambda first: block(every, bases, first)))
+        return F.when((F.size(every) > 0) & (F.size(bases) > 0), kept).otherwise(every)
+
+    return let(tokens, lambda every: let(base, lambda bases: of(every, bases)))
 
 
 def bootstrapped(met: DataFrame, rounds: int, confidence: float, support: int) -> DataFrame:
@@ -168,10 +266,7 @@ def find(
         located(F.col("text"), TOKEN),
         lambda m: F.struct(F.lit(None).cast("int").alias("kind"), m["start"].alias("start"), m["end"].alias("end")),
     )
-    fresh = F.filter(
-        tokens,
-        lambda t: ~F.exists(F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
+    fresh = apart(tokens, F.col("base"))
     fresh = F.when(F.col("text").rlike("[0-9]"), fresh).otherwise(F.array().cast(f"array<{SPAN}>"))
     marked = stored(
         rows.withColumn("fresh", fresh).select(
@@ -222,14 +317,26 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **se
     spans = F.concat(base_spans(text), F.coalesce(more["pii_more"], F.array().cast(f"array<{SPAN}>")))
     ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+    def step(chunk: Column, acc: Column, s: Column) -> Column:
+        gap = F.substring(chunk["text"], acc["at"] - chunk["at"] + 1, s["start"] - acc["at"])
         return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(
             F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.element_at(names, s["kind"] + 1)).alias("out"))
         )
 
-    cleaned = F.aggregate(ordered, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    def rewritten(every: Column, chunk: Column) -> Column:
+        """A chunk with its spans replaced; a span's name stands where it starts."""
+        end = chunk["at"] + CHUNK
+        earlier = F.array_max(F.transform(F.filter(every, lambda s: s["start"] < chunk["at"]), lambda s: s["end"]))
+        begin = F.struct(F.greatest(F.coalesce(earlier, chunk["at"]), chunk["at"]).alias("at"), F.lit("").alias("out"))
+        inside = F.filter(every, lambda s: (s["start"] >= chunk["at"]) & (s["start"] < end))
+
+        def rest(acc: Column) -> Column:
+            left = F.substring(chunk["text"], acc["at"] - chunk["at"] + 1, F.greatest(end - acc["at"], F.lit(0)))
+            return F.concat(acc["out"], left)
+
+        return F.aggregate(inside, begin, lambda acc, s: step(chunk, acc, s), rest)
+
+    cleaned = let(ordered, lambda every: F.array_join(F.transform(chunked(text), lambda chunk: rewritten(every, chunk)), ""))
     changed = F.when(docs[text_col].isNull() | (F.size(spans) == 0), docs[text_col]).otherwise(cleaned)
     return joined.select(*[changed.alias(c) if c == text_col else docs[c] for c in docs.columns])

@@ -5,6 +5,7 @@ import os
 import random
 import re
 import struct
+import time
 import zlib
 from collections import defaultdict
 from itertools import combinations
@@ -575,3 +576,30 @@ def test_ids_of_words_equal_the_tokenizer():
         for word in text.encode().split():
             ids = whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
             assert known[word] == struct.pack(f"<{len(ids)}I", *ids), word
+
+
+def test_long_texts_cost_in_proportion(spark):
+    def seconds(tokens):
+        text = " ".join(f"id{i:06d} 10.0.{i % 200}.{i % 7}" for i in range(tokens))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.perf_counter()
+        (found,) = pii.find(docs).collect()
+        spent = time.perf_counter() - begin
+        spans = [text[s["start"] : s["end"]] for s in found["base"]]
+        assert spans == [word for word in text.split() if word.startswith("10.")]
+        return spent
+
+    seconds(50)
+    assert seconds(20_000) < 3 * seconds(5_000)
+
+
+def test_redaction_across_chunks(spark):
+    size = pii.CHUNK
+    texts = ["x" * (size - 3) + " a@b.cc " + "y" * size + " 10.0.0.1", "a@b.cc" + " 1.2.3.4" * size, "z" * (3 * size), ""]
+    rows = pii.redact(table(spark, texts)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == {
+        0: "x" * (size - 3) + " <EMAIL> " + "y" * size + " <IP>",
+        1: "<EMAIL>" + " <IP>" * size,
+        2: "z" * (3 * size),
+        3: "",
+    }
