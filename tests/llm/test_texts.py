@@ -596,7 +596,7 @@ def test_long_texts_cost_in_proportion(spark):
 def test_redaction_across_chunks(spark):
     size = pii.CHUNK
     texts = ["x" * (size - 3) + " a@b.cc " + "y" * size + " 10.0.0.1", "a@b.cc" + " 1.2.3.4" * size, "z" * (3 * size), ""]
-    rows = pii.redact(table(spark, texts)).collect()
+    rows = pii.redact(table(spark, list(enumerate(texts)))).collect()
     assert {r["doc_id"]: r["text"] for r in rows} == {
         0: "x" * (size - 3) + " <EMAIL> " + "y" * size + " <IP>",
         1: "<EMAIL>" + " <IP>" * size,
