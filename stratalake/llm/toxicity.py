@@ -18,16 +18,15 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, stored
 
-# Labelled rows of each class, in expectation, that the lexicon and the calibration are learned from.
+# Labelled ids of each class, in expectation, that the lexicon and the calibration are learned from, one text of each.
 ROWS_PER_CLASS = 10_000
 # Of these, the share the lexicon is learned from; the rest calibrates.
 LEXICON_SHARE = 0.7
 # A lexicon entry is in at least this many and this share of the toxic texts, and this much likelier (logarithm)
-# there than in clean ones; entries kept.
+# there than in clean ones. The share bounds the lexicon: the sample's terms over the texts an entry needs.
 MIN_TEXTS = 3
 MIN_SHARE = 0.002
 MIN_LOG_ODDS = 2.5
-MOST_ENTRIES = 5000
 # Words longer than this also count by their beginning, so inflected forms share an entry.
 STEM = 5
 # An exception phrase is in at least this many clean texts and in under this share of toxic ones.
@@ -127,13 +126,15 @@ def features(hits: dict[int, float], words: int) -> tuple[float, float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int) -> Model:
-    """Learn from ``labels`` ``(id, 0 or 1)``; a random sample of about ``rows_per_class`` rows of each class is used.
+    """Learn from ``labels`` ``(id, 0 or 1)``; a random sample of about ``rows_per_class`` ids of each class is used.
 
+    An id labelled both 0 and 1 counts as 1; of an id that stands on several texts, the one of least hash is read.
     Without labelled rows of both classes the model knows no words and scores everything 0.5 less a little.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).cast("long").alias("labelled"), F.col(label_col).cast("int").alias("toxic")
     )
+    known = known.groupBy("labelled").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return Model({}, frozenset(EXCEPTIONS), (-0.1, 0.0, 0.0))
@@ -141,14 +142,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     draw = F.pmod(F.xxhash64("labelled"), F.lit(1_000_000)) / 1_000_000
     fraction = F.when(F.col("toxic") == 1, F.lit(shares[1])).otherwise(F.lit(shares[0]))
     side = F.pmod(F.xxhash64("labelled", F.lit("side")), F.lit(1000)) < int(1000 * LEXICON_SHARE)
-    chosen = known.where(draw < fraction).dropDuplicates(["labelled"]).select("labelled", "toxic", side.alias("learn"))
+    chosen = known.where(draw < fraction).select("labelled", "toxic", side.alias("learn"))
     # The sample is bounded by the parameter, so it can be sent to every task.
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sample = stored(
-        texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("toxic", "learn", "text").repartition(32),
-        "toxicity-sample",
-    )
-    learning, calibrating = sample.where("learn").select("toxic", "text"), sample.where("not learn").select("toxic", "text")
+    drawn = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    one = drawn.groupBy("doc_id", "toxic", "learn").agg(least).select("toxic", "learn", "least.text")
+    sample = stored(one.repartition(32), "toxicity-sample")
+    learning = sample.where("learn").select("toxic", "text")
+    calibrating = sample.where("not learn").select("toxic", "text")
     totals = {r["toxic"]: r["n"] for r in learning.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic_texts, clean_texts = totals.get(1, 0), totals.get(0, 0)
 
@@ -172,9 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         counted.groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where((F.col("toxic") >= max(MIN_TEXTS, MIN_SHARE * toxic_texts)) & (odds >= MIN_LOG_ODDS))
-        .select("term", odds.alias("weight"), "toxic")
-        .orderBy(F.desc("toxic"), "term")
-        .limit(MOST_ENTRIES)
+        .select("term", odds.alias("weight"))
     )
     weights = {r["term"]: r["weight"] for r in entries.collect()}
     bare = Model(weights, frozenset(EXCEPTIONS), (0.0, 0.0, 0.0))
@@ -187,9 +187,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                 hits, line = matches(machine, fold(text or ""))
                 near = set()
                 for at in hits:
-                    after = line[at + 1 : at + 200].split(" ", 2)[:2]
-                    before = line[max(0, at - 100) : at].rsplit(" ", 1)[-1]
-                    near |= {f"{before} {after[0]}", " ".join(after)}
+                    end = line.index(" ", at + 1)
+                    word, before = line[at + 1 : end], line[line.rfind(" ", 0, at) + 1 : at]
+                    after = line[end + 1 : max(line.find(" ", end + 1), end)]
+                    near |= {f"{before} {word}", f"{word} {after}"}
                 seen[toxic].update(p.strip() for p in near if " " in p.strip())
         every = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_arrays(
@@ -202,8 +203,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         .groupBy("phrase")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where((F.col("clean") >= EXCEPTION_TEXTS) & (F.col("toxic") <= EXCEPTION_SHARE * F.col("clean")))
-        .orderBy(F.desc("clean"), "phrase")
-        .limit(MOST_ENTRIES)
     )
     learned = Model(weights, frozenset(EXCEPTIONS) | {r["phrase"] for r in phrases.collect()}, (0.0, 0.0, 0.0))
 
