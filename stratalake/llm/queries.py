@@ -54,12 +54,13 @@ SEED_HOST_WORDS = ["ads", "adult", "bets", "casino", "pills", "porn", "spam"]
 
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Labels to mine: a host with a seed word is to be blocked; else a page takes the label of the document of its
-    id, to be blocked if that is of low quality or toxic."""
+    id, to be blocked if that is of low quality or toxic by any of its labels."""
     pages = read_table(spark, folder, "pages").select("page_id", "url")
     seeded = F.arrays_overlap(F.split(url_filters.host(F.col("url")), "[.-]+"), F.array(*map(F.lit, SEED_HOST_WORDS)))
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     verdict = F.when(seeded | bad, F.lit(url_filters.BLOCK)).when(F.col("doc_id").isNotNull(), F.lit(url_filters.ALLOW))
-    documents = read_table(spark, folder, "labels").select("doc_id", "quality", "toxic").dropDuplicates(["doc_id"])
+    labelled = read_table(spark, folder, "labels").groupBy("doc_id")
+    documents = labelled.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     labels = pages.join(documents, F.col("page_id") == F.col("doc_id"), "left").select("page_id", verdict.alias("verdict"))
     judged = url_filters.judge(pages, labels.where("verdict IS NOT NULL"), URL_RULES, label_id_col="page_id")
     return judged.select("page_id", "host", "path", "rule", "verdict")
