@@ -5,7 +5,8 @@ with the least hash: equal windows have equal anchors. Consecutive windows with
 only segments whose anchor occurs more than once anywhere are fetched, each distinct text once with its number of
 occurrences. Shards of segments are sorted by induced sorting; permuted common prefixes of at least a window show
 which windows repeat. Anchors with very many different segments are filed again under ever longer contexts, at last
-the whole window, so no shard is unbounded.
+the whole window, so no shard is unbounded. Texts are compressed once, beside their segments, and travel so. Keys that
+hold more than their share of all segments are joined by broadcast of those few keys, never in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ MOST_SEGMENTS = 4096
 WIDTHS = (32, 1)
 # What identifies a segment's text: where it is filed, its own hash, its windows and its anchor's offset.
 SEGMENT = ["key", "text_key", "windows", "offset"]
+# A key on more than one in this many of all segments is hot; there are fewer hot keys than this.
+HOT_SHARE = 1000
 
 
 def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,24 +105,44 @@ def segments(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]
 
 
 def filed(rows: DataFrame, window: int) -> DataFrame:
-    """``(row_id, row_hash, start, key, text_key, windows, offset)`` of every segment of every row."""
+    """``(doc_id, row_id, row_hash, packed, segments)`` per row: the compressed text and its segments, each a ``start``
+    and the columns of ``SEGMENT``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids, hashes = (batch.column(i).to_numpy() for i in (0, 1))
-            for owner, start, windows, offset, key, text_key in segments(list(utf8(batch.column(2))), window):
-                columns = [ids[owner], hashes[owner], start, key, text_key, windows.astype(np.int32), offset.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row_id", "row_hash", "start", *SEGMENT])
-
+            texts = list(utf8(batch.column(3)))
+            found = list(segments(texts, window))
+            owner = np.concatenate([np.zeros(0, np.int64), *(part[0] for part in found)])
+            kinds = {"start": np.int64, "windows": np.int32, "offset": np.int32, "key": np.int64, "text_key": np.int64}
+            fields = {
+                name: np.concatenate([np.zeros(0, kind), *(part[i].astype(kind) for part in found)])
+                for i, (name, kind) in enumerate(kinds.items(), start=1)
+            }
+            ends = owner.searchsorted(np.arange(len(texts) + 1)).astype(np.int32)
+            names = ["start", *SEGMENT]
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends), pa.StructArray.from_arrays([pa.array(fields[n]) for n in names], names)
+            )
+            packed = pa.array([packer.compress(text) for text in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(3)), packed, lists], ["doc_id", "row_id", "row_hash", "packed", "segments"]
+            )
+
+    one = "start: long, key: long, text_key: long, windows: int, offset: int"
     return map_batches(
-        rows, run, "row_id long, row_hash long, start long, key long, text_key long, windows int, offset int"
+        rows, run, f"doc_id long, row_id long, row_hash long, packed binary, segments array<struct<{one}>>"
     )
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """The segments whose key occurs more than once, with the number of different texts under it."""
-    twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return found.join(twice, "key")
+    """The segments whose key occurs more than once. Hot keys are few, so they are sent to the segments; all others
+    are joined by a shuffle in which no key has more than its share."""
+    counts = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-keys")
+    least = (counts.agg(F.sum("n")).first()[0] or 0) / HOT_SHARE
+    hot = F.broadcast(counts.where(F.col("n") > least).select("key"))
+    others = counts.where(F.col("n") <= least).select("key")
+    return found.join(hot, "key", "left_semi").unionByName(found.join(hot, "key", "left_anti").join(others, "key", "left_semi"))
 
 
 def fetched(rows: DataFrame, wanted: DataFrame, function, schema: str) -> DataFrame:
@@ -127,14 +151,16 @@ def fetched(rows: DataFrame, wanted: DataFrame, function, schema: str) -> DataFr
     A text's segments travel to it as one list, at most as long as the text.
     """
     lists = wanted.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("start", *SEGMENT, "weight")).alias("wanted"))
-    texts = rows.join(lists, ["row_id", "row_hash"]).select("row_id", "row_hash", "text", "wanted")
+    texts = rows.join(lists, ["row_id", "row_hash"]).select("row_id", "row_hash", "packed", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             wanted = batch.column(3)
             offsets = np.asarray(wanted.offsets)
             fields = {name: np.asarray(wanted.values.field(name)) for name in ["start", *SEGMENT, "weight"]}
-            for number, text in enumerate(utf8(batch.column(2))):
+            for number, packed in enumerate(batch.column(2)):
+                text = unpacker.decompress(packed.as_py())
                 part = {name: values[offsets[number] : offsets[number + 1]] for name, values in fields.items()}
                 yield from function(batch.column(0)[number].as_py(), batch.column(1)[number].as_py(), text, part)
 
@@ -261,43 +287,44 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     number = F.col(id_col).cast("long")
-    rows = docs.select(
+    named = docs.select(
+        number.alias("doc_id"),
         F.coalesce(number, F.lit(0).cast("long")).alias("row_id"),
         F.xxhash64(text, F.col(id_col).isNull()).alias("row_hash"),
         text.alias("text"),
     )
-    candidates = stored(repeated(stored(filed(rows, window), "segments")), "repeated-segments")
+    texts = stored(filed(named, window), "segments")
+    rows = texts.select("row_id", "row_hash", "packed")
+    candidates = stored(repeated(texts.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments")
     settled = []
     for width in WIDTHS:
-        different = candidates.select(*SEGMENT).distinct().groupBy("key").agg(F.count("*").alias("n"))
-        hot = stored(different.where(F.col("n") > MOST_SEGMENTS).select("key"), "crowded-keys")
-        if hot.isEmpty():
+        under = candidates.select(*SEGMENT).distinct().groupBy("key").agg(F.count("*").alias("n"))
+        crowded = stored(under.where(F.col("n") > MOST_SEGMENTS).select("key"), "crowded-keys")
+        if crowded.isEmpty():
             break
-        settled.append(candidates.join(hot, "key", "left_anti"))
-        candidates = stored(
-            repeated(stored(refiled(rows, candidates.join(hot, "key"), width, window), "segments")), "repeated-segments"
-        )
+        settled.append(candidates.join(crowded, "key", "left_anti"))
+        again = stored(refiled(rows, candidates.join(crowded, "key"), width, window), "segments")
+        candidates = stored(repeated(again), "repeated-segments")
     settled.append(candidates)
     every = settled[0]
     for more in settled[1:]:
         every = every.unionByName(more)
-    found = stored(matched(rows, distinct_segments(every), window), "repeated-windows")
-    ranges = (
-        every.join(found, SEGMENT)
-        .groupBy("row_id", "row_hash")
-        .agg(F.collect_set(F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))).alias("hits"))
-    )
-    named = docs.select(
-        number.alias("doc_id"),
-        F.coalesce(number, F.lit(0).cast("long")).alias("row_id"),
-        F.xxhash64(text, F.col(id_col).isNull()).alias("row_hash"),
-        text.alias("text"),
-    )
+    different = stored(distinct_segments(every), "different-segments")
+    found = stored(matched(rows, different, window), "repeated-windows")
+    least = (different.agg(F.sum("weight")).first()[0] or 0) / HOT_SHARE
+    hot = F.broadcast(different.where(F.col("weight") > least).select(*SEGMENT))
+    # The windows of a segment are fewer than a window's bytes, so those of the few hot segments are few too.
+    few = F.broadcast(found.join(hot, SEGMENT, "left_semi"))
+    marked = every.join(few, SEGMENT).unionByName(every.join(hot, SEGMENT, "left_anti").join(found, SEGMENT))
+    first, last = ((F.col("start") + F.col(name)).alias(name) for name in ("first", "last"))
+    ranges = marked.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct(first, last)).alias("hits"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             kept, spans, sizes = [], [], []
-            for data, hits in zip(utf8(batch.column(1)), batch.column(2), strict=True):
+            for packed, hits in zip(batch.column(1), batch.column(2), strict=True):
+                data = unpacker.decompress(packed.as_py())
                 runs: list[list[int]] = []
                 for first, last in sorted((h["first"], h["last"] + window) for h in hits.as_py() or ()):
                     if runs and first <= runs[-1][1]:
@@ -312,5 +339,5 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "kept", "spans"])
 
-    joined = named.join(ranges, ["row_id", "row_hash"], "left").select("doc_id", "text", "hits")
+    joined = texts.join(ranges, ["row_id", "row_hash"], "left").select("doc_id", "packed", "hits")
     return map_batches(joined, cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")

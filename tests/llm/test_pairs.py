@@ -100,6 +100,19 @@ def test_cut_repeats_equals_plain_version(spark, monkeypatch, most):
     assert sum(removed for _, removed, *_ in expected) > 60_000
 
 
+@pytest.mark.parametrize("share", [1, 4])
+def test_cut_repeats_with_few_or_no_hot_keys(spark, monkeypatch, share):
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", share)
+    draw = random.Random(21)
+    shared = [bytes(draw.choice(b"abcde ") for _ in range(500)).decode() for _ in range(3)]
+    rows = [(i, shared[0] if i % 3 else shared[1 + i % 2] + str(i)) for i in range(60)] + [(100 + i, f"own {i} " * 90) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in suffix_dedup.cut_repeats(docs).collect()}
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 1000)
+    usual = {r["doc_id"]: r["spans"] for r in suffix_dedup.cut_repeats(docs).collect()}
+    assert found == usual and all([(s["start"], s["end"]) for s in found[i]] == [(0, 500)] for i in range(60))
+
+
 def test_cut_repeats_of_nothing(spark):
     assert suffix_dedup.cut_repeats(table(spark, [])).count() == 0
     assert cut_rows(suffix_dedup.cut_repeats(table(spark, [(1, "x")]))) == plain_cut(["x"], 400)
