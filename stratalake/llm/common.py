@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.lake import shared_folder
+from ..sources.lake import remove_folder, shared_folder
 
 # Arrow batches sent to Python end at whichever comes first: very long texts must fit beside others in a worker.
 ROWS_PER_BATCH = 10_000
@@ -42,9 +42,19 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the folder all executors share and read back: cuts lineage, survives lost executors."""
+    return stored_at(df, purpose)[1]
+
+
+def stored_at(df: DataFrame, purpose: str) -> tuple[str, DataFrame]:
+    """``stored`` with the table's path, for ``consumed``."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def consumed(spark: SparkSession, path: str) -> None:
+    """Remove a table of ``stored_at`` of which all that is read later has been stored."""
+    remove_folder(spark, path)
 
 
 def map_batches(df: DataFrame, function, schema) -> DataFrame:

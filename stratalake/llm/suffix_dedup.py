@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, utf8, whole_groups
+from .common import consumed, map_batches, stored, stored_at, utf8, whole_groups
 from .suffix_array import permuted_common_prefixes, suffix_array
 
 WINDOW = 400
@@ -295,16 +295,20 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     texts = stored(filed(named, window), "segments")
     rows = texts.select("row_id", "row_hash", "packed")
-    candidates = stored(repeated(texts.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments")
+    path, candidates = stored_at(
+        repeated(texts.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments"
+    )
     settled = []
     for width in WIDTHS:
         under = candidates.select(*SEGMENT).distinct().groupBy("key").agg(F.count("*").alias("n"))
         crowded = stored(under.where(F.col("n") > MOST_SEGMENTS).select("key"), "crowded-keys")
         if crowded.isEmpty():
             break
-        settled.append(candidates.join(crowded, "key", "left_anti"))
-        again = stored(refiled(rows, candidates.join(crowded, "key"), width, window), "segments")
-        candidates = stored(repeated(again), "repeated-segments")
+        settled.append(stored(candidates.join(crowded, "key", "left_anti"), "repeated-segments"))
+        filed_at, again = stored_at(refiled(rows, candidates.join(crowded, "key"), width, window), "segments")
+        consumed(docs.sparkSession, path)
+        path, candidates = stored_at(repeated(again), "repeated-segments")
+        consumed(docs.sparkSession, filed_at)
     settled.append(candidates)
     every = settled[0]
     for more in settled[1:]:

@@ -105,7 +105,7 @@ def test_cut_repeats_with_few_or_no_hot_keys(spark, monkeypatch, share):
     monkeypatch.setattr(suffix_dedup, "HOT_SHARE", share)
     draw = random.Random(21)
     shared = [bytes(draw.choice(b"abcde ") for _ in range(500)).decode() for _ in range(3)]
-    rows = [(i, shared[0] if i % 3 else shared[1 + i % 2] + str(i)) for i in range(60)] + [(100 + i, f"own {i} " * 90) for i in range(4)]
+    rows = [(i, shared[0] if i % 3 else shared[1 + i % 2] + chr(48 + i)) for i in range(60)] + [(100 + i, f"own {i} " * 90) for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["spans"] for r in suffix_dedup.cut_repeats(docs).collect()}
     monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 1000)
