@@ -70,9 +70,11 @@ def paths(messages: DataFrame) -> DataFrame:
 
     Self-joins with jumps that double: after n rounds a path is known up to 2^n nodes, so the number of rounds is the
     logarithm of the deepest tree. A message whose parent does not exist is a root; messages that only reach each
-    other in a circle have no leaf and are left out. Rows equal in tree and node are one message.
+    other in a circle have no leaf and are left out. Rows equal in tree and node are one message, with the least parent
+    (null first).
     """
-    nodes = messages.select("tree", "node", "parent").dropDuplicates(["tree", "node"])
+    nodes = messages.groupBy("tree", "node").agg(F.min(F.struct("parent")).alias("least"))
+    nodes = nodes.select("tree", "node", "least.parent")
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
     hop = nodes.join(
         known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n"))
@@ -110,19 +112,25 @@ def conversations(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     ``messages``: ``(tree, node, parent, role, text, score)``; the parent of a root is null. Paths of a tree are
     ranked by mean score, then length, then leaf; ``branches`` are kept, all if None. Result: ``(tree, leaf, rank,
     score, n_turns, formatted, loss_spans)``; a loss span is ``(start, length)`` in code points of ``formatted`` and
-    covers exactly one text of the trained role. Null roles and texts are empty, null scores count as 0. An empty
-    table gives no rows; other columns are not read.
+    covers exactly one text of the trained role. Null roles and texts are empty, null scores count as 0. Rows equal in
+    tree and node are one message: the least by parent (null first), role, text and score. An empty table gives no
+    rows; other columns are not read.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    role = F.coalesce(F.col("role"), F.lit(""))
-    said = messages.select(
-        F.col("tree").alias("t"),
-        F.col("node").alias("n"),
-        role.alias("role"),
-        F.concat(F.lit(TURN_START), escape_role(role), F.lit("\n")).alias("head"),
-        escape(text).alias("body"),
+    row = F.struct(
+        "parent",
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("points"),
-    ).dropDuplicates(["t", "n"])
+    )
+    once = messages.groupBy(F.col("tree").alias("t"), F.col("node").alias("n")).agg(F.min(row).alias("row"))
+    said = once.select(
+        "t",
+        "n",
+        "row.role",
+        F.concat(F.lit(TURN_START), escape_role(F.col("row.role")), F.lit("\n")).alias("head"),
+        escape(F.col("row.text")).alias("body"),
+        "row.points",
+    )
     turns = paths(messages).join(
         said, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))
     )

@@ -533,6 +533,16 @@ def test_paths_branches_and_round_trip(spark):
     assert chat.conversations(tree.limit(0)).count() == 0
 
 
+def test_repeated_messages_take_one_whole_row(spark):
+    # The row with the least parent counts, for the path and for what is said, in whatever order the rows stand.
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "user", "a", 2.0), (1, 3, 2, "user", "late", 9.0), (1, 3, 1, "user", "z", 1.0), (1, 3, 1, "user", "y", 4.0)]
+    for said in (rows, rows[::-1]):
+        tree = spark.createDataFrame(said, "tree long, node long, parent long, role string, text string, score double")
+        every = chat.conversations(tree, branches=None).select("leaf", "score", chat.read_turns(F.col("formatted")).alias("t"))
+        found = {r["leaf"]: (r["score"], [t[1] for t in r["t"]]) for r in every.collect()}
+        assert found == {2: (1.0, ["q", "a"]), 3: (2.0, ["q", "y"])}
+
+
 def test_chain_orders_ties_and_nulls(spark):
     rows = [(1, 1, "b", "y", 0), (1, 1, "b", "x", 0), (1, 0, None, None, 0), (1, None, "a", "first", 0), (1, 1, "b", "x", 0), (None, 0, "assistant", "a", 0)]
     talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tree int")
