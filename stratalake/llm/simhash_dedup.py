@@ -199,15 +199,18 @@ def deduplicate(
     """One row of ``docs`` for each component: the one of least id, among several texts of that id of least text hash.
 
     An id on unlike texts stands in several components and is kept once for each that it is the least of. Rows
-    without an id cannot be named by a component and all stay.
+    without an id come after all others of their component, so a component of such rows alone keeps one text. Of rows
+    equal in id and text, the one whose columns (maps aside) hash least stays. An empty table gives no rows.
     """
     prints = stored(fingerprints(docs, id_col, text_col, shingle, hashed=True), "fingerprints")
-    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     least = rooted(prints, F.min(row), radius).groupBy("root").agg(F.min("first").alias("least"))
-    kept = least.where("least IS NOT NULL").select(
-        F.col("least.doc_id").alias("kept_id"), F.col("least.text_hash").alias("kept_hash")
+    kept = least.select(F.col("least.doc_id").alias("kept_id"), F.col("least.text_hash").alias("kept_hash"))
+    # Copies become one row before the shuffle, however many there are.
+    hashed = [F.col(f"`{c.name}`") for c in docs.schema if "map<" not in c.dataType.simpleString()]
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    once = docs.groupBy(F.col(id_col).cast("long").alias("__id"), text_hash(text_col).alias("__hash")).agg(
+        F.min_by(whole, F.xxhash64(*hashed)).alias("__row")
     )
-    marked = docs.withColumn("__text_hash", text_hash(text_col))
-    same = (marked[id_col].cast("long") == kept["kept_id"]) & (marked["__text_hash"] == kept["kept_hash"])
-    named = marked.join(kept, same, "left_semi").dropDuplicates([id_col, "__text_hash"]).drop("__text_hash")
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    same = once["__id"].eqNullSafe(kept["kept_id"]) & (once["__hash"] == kept["kept_hash"])
+    return once.join(kept, same, "left_semi").select("__row.*")

@@ -213,11 +213,23 @@ def test_components_of_chain_star_and_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_deduplicate_keeps_one_row_each_and_rows_without_id(spark):
+def test_deduplicate_keeps_one_row_each(spark):
     docs = table(spark, [(2, "a b c"), (1, "A b c"), (1, "a b c"), (3, "x y z"), (None, "a b c")])
     kept = simhash_dedup.deduplicate(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 3, None]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+    assert simhash_dedup.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_deduplicate_of_rows_without_id_and_of_rows_with_other_columns(spark):
+    one, other = prose(24, 60), prose(25, 60)
+    rows = [(None, one, "b"), (None, one, "a"), (None, one, "a"), (None, other, "c"), (3, other, "e"), (3, other, "d")]
+    seen = set()
+    for docs in (rows, rows[::-1]):
+        found = simhash_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string, kept_id string"))
+        seen.add(tuple(sorted((r["doc_id"] or 0, r["text"], r["kept_id"]) for r in found.collect())))
+    (kept,) = seen
+    assert sorted(k[:2] for k in kept) == sorted([(0, one), (3, other)])
 
 
 def test_deduplicate_keeps_unlike_texts_of_one_id(spark):
