@@ -5,8 +5,9 @@ with the least hash: equal windows have equal anchors. Consecutive windows with
 only segments whose anchor occurs more than once anywhere are fetched, each distinct text once with its number of
 occurrences. Shards of segments are sorted by induced sorting; permuted common prefixes of at least a window show
 which windows repeat. Anchors with very many different segments are filed again under ever longer contexts, at last
-the whole window, so no shard is unbounded. Texts are compressed once, beside their segments, and travel so. Keys that
-hold more than their share of all segments are joined by broadcast of those few keys, never in one task.
+the whole window, so no shard is unbounded. Texts are read from the input where they are needed and travel compressed;
+no copy of them is stored. Keys that hold more than their share of all segments are joined by broadcast of those few
+keys, never in one task.
 """
 
 from __future__ import annotations
@@ -105,13 +106,11 @@ def segments(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]
 
 
 def filed(rows: DataFrame, window: int) -> DataFrame:
-    """``(doc_id, row_id, row_hash, packed, segments)`` per row: the compressed text and its segments, each a ``start``
-    and the columns of ``SEGMENT``."""
+    """``(row_id, row_hash, segments)`` per row: its segments, each a ``start`` and the columns of ``SEGMENT``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            texts = list(utf8(batch.column(3)))
+            texts = list(utf8(batch.column(2)))
             found = list(segments(texts, window))
             owner = np.concatenate([np.zeros(0, np.int64), *(part[0] for part in found)])
             kinds = {"start": np.int64, "windows": np.int32, "offset": np.int32, "key": np.int64, "text_key": np.int64}
@@ -124,14 +123,24 @@ def filed(rows: DataFrame, window: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(ends), pa.StructArray.from_arrays([pa.array(fields[n]) for n in names], names)
             )
-            packed = pa.array([packer.compress(text) for text in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), packed, lists], ["doc_id", "row_id", "row_hash", "packed", "segments"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["row_id", "row_hash", "segments"])
 
     one = "start: long, key: long, text_key: long, windows: int, offset: int"
+    return map_batches(rows, run, f"row_id long, row_hash long, segments array<struct<{one}>>")
+
+
+def compressed(rows: DataFrame) -> DataFrame:
+    """``(doc_id, row_id, row_hash, packed)``: the rows with their text compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            packed = pa.array([packer.compress(text) for text in utf8(batch.column(3))], pa.binary())
+            names = ["doc_id", "row_id", "row_hash"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), packed], [*names, "packed"])
+
     return map_batches(
-        rows, run, f"doc_id long, row_id long, row_hash long, packed binary, segments array<struct<{one}>>"
+        rows.select("doc_id", "row_id", "row_hash", "text"), run, "doc_id long, row_id long, row_hash long, packed binary"
     )
 
 
@@ -284,6 +293,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     anywhere else, in this row or another; repeats are judged on the texts as given. Null text is empty and texts
     shorter than a window keep everything. Equal rows, and rows without an id, are documents of their own: copies of
     each other that lose all windows. An empty table gives no rows; other columns are not read.
+
+    ``docs`` is read once for segments and once each time texts are fetched, so it should be a stored table.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     number = F.col(id_col).cast("long")
@@ -293,11 +304,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.xxhash64(text, F.col(id_col).isNull()).alias("row_hash"),
         text.alias("text"),
     )
-    texts = stored(filed(named, window), "segments")
-    rows = texts.select("row_id", "row_hash", "packed")
-    path, candidates = stored_at(
-        repeated(texts.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments"
-    )
+    long_enough = named.where(F.octet_length("text") >= window)
+    rows = compressed(long_enough).drop("doc_id")
+    filed_at, found = stored_at(filed(long_enough.drop("doc_id"), window), "segments")
+    path, candidates = stored_at(repeated(found.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments")
+    consumed(docs.sparkSession, filed_at)
     settled = []
     for width in WIDTHS:
         under = candidates.select(*SEGMENT).distinct().groupBy("key").agg(F.count("*").alias("n"))
@@ -343,5 +354,5 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "kept", "spans"])
 
-    joined = texts.join(ranges, ["row_id", "row_hash"], "left").select("doc_id", "packed", "hits")
+    joined = compressed(named).join(ranges, ["row_id", "row_hash"], "left").select("doc_id", "packed", "hits")
     return map_batches(joined, cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
