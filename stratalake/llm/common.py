@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -57,6 +58,21 @@ def consumed(spark: SparkSession, path: str) -> None:
     remove_folder(spark, path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a finished query go at once, not when the driver next collects garbage.
+
+    For steps that write their result: what is read later is the written table.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` whose input batches are bounded in rows and bytes."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))

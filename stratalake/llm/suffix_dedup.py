@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import consumed, map_batches, stored, stored_at, utf8, whole_groups
+from .common import consumed, map_batches, shuffles_removed, stored, stored_at, utf8, whole_groups
 from .suffix_array import permuted_common_prefixes, suffix_array
 
 WINDOW = 400
@@ -306,26 +306,27 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     long_enough = named.where(F.octet_length("text") >= window)
     rows = compressed(long_enough).drop("doc_id")
-    filed_at, found = stored_at(filed(long_enough.drop("doc_id"), window), "segments")
-    path, candidates = stored_at(repeated(found.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments")
-    consumed(docs.sparkSession, filed_at)
-    settled = []
-    for width in WIDTHS:
-        under = candidates.select(*SEGMENT).distinct().groupBy("key").agg(F.count("*").alias("n"))
-        crowded = stored(under.where(F.col("n") > MOST_SEGMENTS).select("key"), "crowded-keys")
-        if crowded.isEmpty():
-            break
-        settled.append(stored(candidates.join(crowded, "key", "left_anti"), "repeated-segments"))
-        filed_at, again = stored_at(refiled(rows, candidates.join(crowded, "key"), width, window), "segments")
-        consumed(docs.sparkSession, path)
-        path, candidates = stored_at(repeated(again), "repeated-segments")
+    with shuffles_removed(docs.sparkSession):
+        filed_at, found = stored_at(filed(long_enough.drop("doc_id"), window), "segments")
+        path, candidates = stored_at(repeated(found.select("row_id", "row_hash", F.inline("segments"))), "repeated-segments")
         consumed(docs.sparkSession, filed_at)
-    settled.append(candidates)
-    every = settled[0]
-    for more in settled[1:]:
-        every = every.unionByName(more)
-    different = stored(distinct_segments(every), "different-segments")
-    found = stored(matched(rows, different, window), "repeated-windows")
+        settled = []
+        for width in WIDTHS:
+            under = candidates.select(*SEGMENT).distinct().groupBy("key").agg(F.count("*").alias("n"))
+            crowded = stored(under.where(F.col("n") > MOST_SEGMENTS).select("key"), "crowded-keys")
+            if crowded.isEmpty():
+                break
+            settled.append(stored(candidates.join(crowded, "key", "left_anti"), "repeated-segments"))
+            filed_at, again = stored_at(refiled(rows, candidates.join(crowded, "key"), width, window), "segments")
+            consumed(docs.sparkSession, path)
+            path, candidates = stored_at(repeated(again), "repeated-segments")
+            consumed(docs.sparkSession, filed_at)
+        settled.append(candidates)
+        every = settled[0]
+        for more in settled[1:]:
+            every = every.unionByName(more)
+        different = stored(distinct_segments(every), "different-segments")
+        found = stored(matched(rows, different, window), "repeated-windows")
     least = (different.agg(F.sum("weight")).first()[0] or 0) / HOT_SHARE
     hot = F.broadcast(different.where(F.col("weight") > least).select(*SEGMENT))
     # The windows of a segment are fewer than a window's bytes, so those of the few hot segments are few too.
