@@ -95,3 +95,9 @@ def test_known_figures_of_the_middle_scale(spark):
     assert tuple(reconciled) == (28, 28, 0)
     audit = {r["column"]: tuple(r)[1:] for r in queries["null_token_totals"](spark, MIDDLE).collect()}
     assert audit["UGDS"] == (7895, 1270, 714)
+
+
+def test_report_audits_the_files_as_delivered(spark):
+    """The report reads stored layers only; their text is not derived from the orders a second time."""
+    read = contract.queries()["dq_report"](spark, SMALL).inputFiles()
+    assert read and not [path for path in read if path.startswith(f"file://{SMALL}")]
