@@ -8,6 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from stratalake.plans import order_warehouse
+from stratalake.plans.silver import to_silver
+from stratalake.schemas import INSTITUTION_COLUMNS
 
 SMALL = "/root/testdata/sf0.001"
 MIDDLE = "/root/testdata/sf0.01"
@@ -97,6 +100,23 @@ def test_known_figures_of_the_middle_scale(spark):
     assert audit["UGDS"] == (7895, 1270, 714)
 
 
+def longest_method(df):
+    """Bytes of the longest method that any part of the plan, as it ran, compiles to."""
+    df.collect()
+    compiled = df._jdf.queryExecution().debug().codegenToSeq()
+    return max((compiled.apply(i)._3().maxMethodCodeSize() for i in range(compiled.size())), default=0)
+
+
+def test_silver_of_programs_compiles_to_methods_the_jvm_translates(spark):
+    """The JVM interprets methods of more than 8,000 bytes, which made each program row cost several times as much."""
+    assert longest_method(order_warehouse.silver_programs(spark, SMALL)) <= 8000
+
+
+def test_silver_of_institution_files_compiles_to_methods_the_jvm_translates(spark):
+    layers = order_warehouse.stored_layers(spark, SMALL)
+    assert longest_method(to_silver(layers.read_text(spark), INSTITUTION_COLUMNS, "year")) <= 8000
+
+
 def test_report_audits_the_files_as_delivered(spark):
     """The report reads stored layers only; their text is not derived from the orders a second time."""
     read = contract.queries()["dq_report"](spark, SMALL).inputFiles()
