@@ -121,3 +121,16 @@ def test_report_audits_the_files_as_delivered(spark):
     """The report reads stored layers only; their text is not derived from the orders a second time."""
     read = contract.queries()["dq_report"](spark, SMALL).inputFiles()
     assert read and not [path for path in read if path.startswith(f"file://{SMALL}")]
+
+
+@pytest.mark.parametrize("place", ["files", "tables"])
+def test_number_casts_are_compiled_and_not_interpreted(spark, place):
+    """A higher-order expression is interpreted per cell; only the text columns, which have no cast, may be in one."""
+    if place == "files":
+        silver = to_silver(order_warehouse.stored_layers(spark, SMALL).read_text(spark), INSTITUTION_COLUMNS, "year")
+    else:
+        silver = order_warehouse.silver_programs(spark, SMALL)
+    plan = silver._jdf.queryExecution().optimizedPlan().toString()
+    shared = [part.split("), lambdafunction", 1)[0].count("#") for part in plan.split("transform(array(")[1:]]
+    assert shared == [4 if place == "files" else 3]  # the text columns of INSTITUTION_COLUMNS and PROGRAM_COLUMNS
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
