@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stratalake.llm import doc_fingerprints, queries, simhash_dedup, suffix_dedup
+from stratalake.llm import suffix_array as suffix_sorting
 from stratalake.llm.common import components
 from stratalake.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -113,6 +114,32 @@ def test_cut_repeats_with_few_or_no_hot_keys(spark, monkeypatch, share):
     assert found == usual and all([(s["start"], s["end"]) for s in found[i]] == [(0, 500)] for i in range(60))
 
 
+def test_shards_deal_short_symbols_and_anchors_are_sought_in_small_blocks(monkeypatch):
+    """Wide symbols are sorted by comparisons, and blocks beyond a processor's cache cost half as much again."""
+    dealt, sought = [], []
+    deal, anchors = suffix_sorting._deal, suffix_dedup.anchors
+
+    def counted_deal(sa, fill, found, symbols, sign):
+        dealt.append(symbols.dtype.itemsize)
+        deal(sa, fill, found, symbols, sign)
+
+    def counted_anchors(data, window):
+        sought.append(len(data))
+        return anchors(data, window)
+
+    monkeypatch.setattr(suffix_sorting, "_deal", counted_deal)
+    monkeypatch.setattr(suffix_dedup, "anchors", counted_anchors)
+    draw = np.random.default_rng(5)
+    texts = [draw.integers(0, 256, 3_000, dtype=np.uint8).tobytes() for _ in range(100)]
+    found = list(suffix_dedup.segments(texts, 400))
+    assert sum(part[2].sum() for part in found) == 100 * (3_000 - 400 + 1)
+    assert len(sought) > 1 and max(sought) < suffix_dedup.GATHERED + 3_000
+    pieces = [texts[0][:700], texts[1][:700], texts[0][100:800]]
+    runs = suffix_dedup.repeated_windows(pieces, np.full(3, 301), np.ones(3, dtype=np.int64), 400)
+    assert sorted(runs) == [(0, 100, 300), (2, 0, 200)]
+    assert dealt and max(dealt) <= 2
+
+
 def test_cut_repeats_of_nothing(spark):
     assert suffix_dedup.cut_repeats(table(spark, [])).count() == 0
     assert cut_rows(suffix_dedup.cut_repeats(table(spark, [(1, "x")]))) == plain_cut(["x"], 400)
